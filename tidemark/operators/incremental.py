@@ -34,6 +34,21 @@ def high_water_filter(df: DataFrame, column: str, mark: str, lateness: str | Non
     return df.where(F.col(column) > limit)
 
 
+def by_month(df: DataFrame, date: str, out: str = "transaction_month") -> DataFrame:
+    """Add the first day of the month: partition column of a stored fact."""
+    return df.withColumn(out, F.trunc(date, "MM"))
+
+
+def write_partitioned(df: DataFrame, path: str, partition: str) -> None:
+    """Overwrite a table partitioned by one column.
+
+    ``rebalance`` gathers each partition's rows into files of the advisory size: small partitions
+    share a task, a partition holding a large part of the table is split over many.
+    """
+    (df.hint("rebalance", partition).write.mode("overwrite")
+     .option("partitionOverwriteMode", "static").partitionBy(partition).parquet(path))
+
+
 def merged(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
     """Target rows whose key is not in the batch, then the batch."""
     keys = batch.select(key)
@@ -111,8 +126,7 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str, partition
     rows = dedup_latest(batch, [key], latest)
     target = read_target(spark, path)
     if target is None:
-        (rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy(partition).parquet(path))
+        write_partitioned(rows, path, partition)
         return
     # The batch is used several times below: written once, it is not computed again.
     rows.write.mode("overwrite").parquet(f"{staging}/batch")
@@ -127,12 +141,15 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str, partition
     if not values:
         _delete(spark, staging)
         return
-    old = target.where(F.col(partition).isin(values))  # prunes to the touched directories
-    merged(old, rows, key).write.mode("overwrite").partitionBy(partition).parquet(
-        f"{staging}/rows")
+    hit = F.col(partition).isin([v for v in values if v is not None])
+    if None in values:
+        hit = hit | F.col(partition).isNull()
+    old = target.where(hit)  # prunes to the touched directories
+    write_partitioned(merged(old, rows, key), f"{staging}/rows", partition)
     left = {r[0] for r in spark.read.parquet(f"{staging}/rows").select(partition).distinct()
             .collect()}
-    plan = {"partition": partition, "emptied": sorted(str(v) for v in set(values) - left)}
+    gone = ["__HIVE_DEFAULT_PARTITION__" if v is None else str(v) for v in set(values) - left]
+    plan = {"partition": partition, "emptied": sorted(gone)}
     spark.createDataFrame([(json.dumps(plan),)], "value string").coalesce(1).write.text(
         f"{staging}/plan")
     _finish(spark, path, staging)
@@ -150,8 +167,7 @@ def incremental(spark: SparkSession, path: str, source: DataFrame, build, key: s
     recover(spark, path)
     target = None if full_refresh else read_target(spark, path)
     if target is None:
-        (build(source).write.mode("overwrite").option("partitionOverwriteMode", "static")
-         .partitionBy(partition).parquet(path))
+        write_partitioned(build(source), path, partition)
         return
     mark = high_water_mark(target, ts)
     delta = build(high_water_filter(source, ts, mark, lateness))
