@@ -16,13 +16,18 @@ SLICE = "_slice"
 COPY_CHUNK = 100_000      # copies of one row that one task may write out
 
 
-def hot_keys(df: DataFrame, key: str, floor: int = HOT_ROWS, most: int = HOT_KEYS) -> DataFrame:
-    """The largest keys with more than ``floor`` rows, at most ``most`` of them.
+def hot_keys(df: DataFrame, key: str, floor: int = HOT_ROWS,
+             most: int = HOT_KEYS) -> DataFrame | None:
+    """The largest keys with more than ``floor`` rows, at most ``most`` of them; None for a table
+    that has no more than ``floor`` rows in all and therefore no such key.
 
     Counting combines on the map side. A key that is passed over because ``most`` others are
     larger holds less than 1/``most`` of the table.
     """
-    sizes = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    keyed = df.select(key).where(F.col(key).isNotNull())
+    if keyed.count() <= floor:
+        return None
+    sizes = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
     return (sizes.where(F.col("_rows") > floor)
             .orderBy(F.col("_rows").desc(), F.col(key)).limit(most).select(key))
 
@@ -42,7 +47,11 @@ def with_next(df: DataFrame, key: str, ts: str, out: str, ties: list[str] | None
     Rows of hot keys are windowed per day; a marker row holding the first instant of the key's
     next day closes each day. NULL instants sort last.
     """
+    order = [F.col(ts).asc_nulls_last()]
+    order += [F.col(c).asc_nulls_last() for c in (ties or [])]
     hot = hot_keys(df, key, hot_rows)
+    if hot is None:
+        return df.withColumn(out, F.lead(ts).over(Window.partitionBy(key).orderBy(*order)))
     rows = with_slice(df, key, F.col(ts), hot).withColumn("_mark", F.lit(False))
     days = (df.select(key, ts).where(F.col(ts).isNotNull())
             .join(F.broadcast(hot), key)
@@ -50,8 +59,6 @@ def with_next(df: DataFrame, key: str, ts: str, out: str, ties: list[str] | None
     across = Window.partitionBy(key).orderBy(SLICE)
     marks = (days.withColumn(ts, F.lead("_first").over(across)).drop("_first")
              .where(F.col(ts).isNotNull()).withColumn("_mark", F.lit(True)))
-    order = [F.col(ts).asc_nulls_last()]
-    order += [F.col(c).asc_nulls_last() for c in (ties or [])]
     within = Window.partitionBy(key, SLICE).orderBy(*order)
     return (rows.unionByName(marks, allowMissingColumns=True)
             .withColumn(out, F.lead(ts).over(within))

@@ -87,23 +87,16 @@ def _merge_asof(fact: DataFrame, history: DataFrame, key: str, ts: str, take: li
 
     both = facts.select("_k").unionByName(starts.select("_k"))
     hot = hot_keys(both, "_k", hot_rows)
-
-    # State at the beginning of each day of a hot key: the last version of an earlier day.
-    days = (starts.unionByName(facts.select("_k", "_t"), allowMissingColumns=True)
-            .join(F.broadcast(hot), "_k")
-            .groupBy("_k", F.to_date("_t").alias(SLICE))
-            .agg(F.max(F.when(F.col("_version").isNotNull(),
-                              F.struct("_t", "_version"))).alias("_last")))
-    earlier = Window.partitionBy("_k").orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    carried = (days.withColumn("_in", F.last("_last", ignorenulls=True).over(earlier))
-               .where(F.col("_in").isNotNull())
-               .select("_k", SLICE, F.col(SLICE).cast("timestamp_ntz").alias("_t"),
-                       F.col("_in._version").alias("_version"), F.lit(0).alias("_kind")))
-
-    events = (with_slice(starts, "_k", F.col("_t"), hot).withColumn("_kind", F.lit(1))
-              .unionByName(carried)
-              .unionByName(with_slice(facts, "_k", F.col("_t"), hot)
-                           .withColumn("_kind", F.lit(2)), allowMissingColumns=True))
+    if hot is None:
+        uncut = F.lit(None).cast("date")
+        events = (starts.withColumn(SLICE, uncut).withColumn("_kind", F.lit(1))
+                  .unionByName(facts.withColumn(SLICE, uncut).withColumn("_kind", F.lit(2)),
+                               allowMissingColumns=True))
+    else:
+        events = (with_slice(starts, "_k", F.col("_t"), hot).withColumn("_kind", F.lit(1))
+                  .unionByName(_carried_in(facts, starts, hot))
+                  .unionByName(with_slice(facts, "_k", F.col("_t"), hot)
+                               .withColumn("_kind", F.lit(2)), allowMissingColumns=True))
     upto = (Window.partitionBy("_k", SLICE)
             .orderBy("_t", "_kind", F.col("_version.valid_to"))
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -118,6 +111,20 @@ def _merge_asof(fact: DataFrame, history: DataFrame, key: str, ts: str, take: li
     return found.unionByName(without)
 
 
+def _carried_in(facts: DataFrame, starts: DataFrame, hot: DataFrame) -> DataFrame:
+    """State at the beginning of each day of a hot key: the last version of an earlier day."""
+    days = (starts.unionByName(facts.select("_k", "_t"), allowMissingColumns=True)
+            .join(F.broadcast(hot), "_k")  # at most HOT_KEYS rows
+            .groupBy("_k", F.to_date("_t").alias(SLICE))
+            .agg(F.max(F.when(F.col("_version").isNotNull(),
+                              F.struct("_t", "_version"))).alias("_last")))
+    earlier = Window.partitionBy("_k").orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    return (days.withColumn("_in", F.last("_last", ignorenulls=True).over(earlier))
+            .where(F.col("_in").isNotNull())
+            .select("_k", SLICE, F.col(SLICE).cast("timestamp_ntz").alias("_t"),
+                    F.col("_in._version").alias("_version"), F.lit(0).alias("_kind")))
+
+
 def scd2_overlaps(dim: DataFrame, key: str = "customer_natural_key",
                   surrogate: str = "customer_key", hot_rows: int = HOT_ROWS) -> DataFrame:
     """Pairs of rows of one key whose intervals overlap, in both orders; empty when healthy.
