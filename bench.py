@@ -39,7 +39,9 @@ class Bench:
         self.spark, self.root = spark, tempfile.mkdtemp(prefix="run-", dir="/tmp")
         self.n = 0
         for name in ADAPTERS:
-            adapter(spark, sf_dir, name).write.parquet(f"{self.root}/bronze/{name}")
+            # As many files as landing tasks; the given tables are one file each.
+            adapter(spark, sf_dir, name).repartition(int(CPUS)).write.parquet(
+                f"{self.root}/bronze/{name}")
         self.raw = {n: spark.read.parquet(f"{self.root}/bronze/{n}") for n in ADAPTERS}
         self.counts = {n: self.raw[n].count() for n in ("txn", "card", "money")}
         core = build_models({"transactions": self.raw["txn"], "customers": self.raw["cust_v"],

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 HOT_ROWS = 1_000_000      # a key below this many rows is left to one task
 HOT_KEYS = 10_000         # at most this many keys are cut: bounds the broadcast below
 SLICE = "_slice"
-COPY_CHUNK = 100_000      # copies of one row that one task may write out
+COPY_CHUNK = 1_000_000    # copies of one row that one task may write out
 
 
 def hot_keys(df: DataFrame, key: str, floor: int = HOT_ROWS,
@@ -74,8 +74,10 @@ def number_copies(df: DataFrame, out: str, chunk: int = COPY_CHUNK) -> DataFrame
     columns = df.columns
     counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
     n = F.col("_copies")
-    few = (counted.where(n <= chunk)
-           .select(*columns, F.explode(F.sequence(F.lit(1).cast("bigint"), n)).alias(out)))
+    one = F.lit(1).cast("bigint")
+    if df.count() <= chunk:  # answered from file footers where the rows come straight from Parquet
+        return counted.select(*columns, F.explode(F.sequence(one, n)).alias(out))
+    few = counted.where(n <= chunk).select(*columns, F.explode(F.sequence(one, n)).alias(out))
     first = F.col("_part") * chunk + 1
     many = (counted.where(n > chunk)
             .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"),
