@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import json
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.utils import AnalysisException
 
 from tidemark.contracts import EPOCH_START
@@ -58,24 +58,43 @@ def merged(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
 
 # --- storage ----------------------------------------------------------------------------
 
-def _path(spark: SparkSession, text: str):
-    path = spark._jvm.org.apache.hadoop.fs.Path(text)
-    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
-def _exists(spark: SparkSession, text: str) -> bool:
-    path, files = _path(spark, text)
-    return files.exists(path)
+class Folder:
+    """A directory of the cluster's file system, through Hadoop's own client."""
 
+    def __init__(self, spark: SparkSession, path: str) -> None:
+        self.spark, self.path = spark, path
+        self._path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        self._files = self._path.getFileSystem(spark._jsc.hadoopConfiguration())
 
-def _delete(spark: SparkSession, text: str) -> None:
-    path, files = _path(spark, text)
-    files.delete(path, True)
+    def __truediv__(self, name: str) -> Folder:
+        return Folder(self.spark, f"{self.path}/{name}")
+
+    def exists(self) -> bool:
+        return self._files.exists(self._path)
+
+    def make(self) -> None:
+        self._files.mkdirs(self._path)
+
+    def delete(self) -> None:
+        self._files.delete(self._path, True)
+
+    def move_to(self, other: Folder) -> None:
+        if not self._files.rename(self._path, other._path):
+            raise OSError(f"cannot move {self.path} to {other.path}")
+
+    def subfolders(self) -> list[str]:
+        if not self.exists():
+            return []
+        return [s.getPath().getName() for s in self._files.listStatus(self._path)
+                if s.isDirectory() and not s.getPath().getName().startswith(("_", "."))]
 
 
 def read_target(spark: SparkSession, path: str) -> DataFrame | None:
     """The stored table, or None while it does not exist or has no file."""
-    if not _exists(spark, path):
+    if not Folder(spark, path).exists():
         return None
     try:
         return spark.read.parquet(path)
@@ -83,29 +102,35 @@ def read_target(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
-def _finish(spark: SparkSession, path: str, staging: str) -> None:
-    """Put a complete staging directory in place. Safe to repeat after a crash: it only
-    overwrites whole partitions with the same rows and deletes the emptied ones again."""
-    plan = json.loads(spark.read.text(f"{staging}/plan", wholetext=True).first()["value"])
-    partition = plan["partition"]
-    staged = spark.read.parquet(f"{staging}/rows")
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition).parquet(path))
-    for value in plan["emptied"]:
-        _delete(spark, f"{path}/{partition}={value}")
-    _delete(spark, staging)
+def _in_folders(partition: str, folders: set[str]) -> Column:
+    """Rows of the given partition directories; prunes the listing."""
+    values = {unquote(f.split("=", 1)[1]) for f in folders}
+    hit = F.col(partition).cast("string").isin(sorted(values - {NULL_PARTITION}))
+    return hit | F.col(partition).isNull() if NULL_PARTITION in values else hit
+
+
+def _finish(spark: SparkSession, path: str) -> None:
+    """Put a complete staging in place, partition by partition. May be repeated after a crash:
+    a partition is gone from the staging once it is in place."""
+    target, staging = Folder(spark, path), Folder(spark, f"{path}_staging")
+    for name in (staging / "rows").subfolders():
+        (target / name).delete()
+        (staging / "rows" / name).move_to(target / name)
+    for name in (staging / "emptied").subfolders():
+        (target / name).delete()
+    staging.delete()
 
 
 def recover(spark: SparkSession, path: str) -> bool:
     """Finish an upsert that was interrupted after its staging was complete; drop one that was
     interrupted before. Returns whether there was something to finish."""
-    staging = f"{path}_staging"
-    if not _exists(spark, staging):
+    staging = Folder(spark, f"{path}_staging")
+    if not staging.exists():
         return False
-    if _exists(spark, f"{staging}/plan/_SUCCESS"):
-        _finish(spark, path, staging)
+    if (staging / "complete").exists():
+        _finish(spark, path)
         return True
-    _delete(spark, staging)
+    staging.delete()
     return False
 
 
@@ -119,40 +144,37 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str, partition
     partition cannot change, ``partition_fixed=True`` saves that read.
 
     New content of the touched partitions is first written beside the table. Only a complete
-    staging replaces partitions, and replacing can be repeated (see :func:`recover`).
+    staging replaces partitions, and replacing can be repeated (see :func:`recover`). One writer
+    per table at a time.
     """
     recover(spark, path)
-    staging = f"{path}_staging"
     rows = dedup_latest(batch, [key], latest)
     target = read_target(spark, path)
     if target is None:
         write_partitioned(rows, path, partition)
         return
+    staging = Folder(spark, f"{path}_staging")
     # The batch is used several times below: written once, it is not computed again.
-    rows.write.mode("overwrite").parquet(f"{staging}/batch")
-    rows = spark.read.parquet(f"{staging}/batch").select(*target.columns)
-    keys = rows.select(key)
-    touched = rows.select(partition).distinct()
-    if not partition_fixed:
-        moved = target.select(key, partition).join(keys, key, "left_semi").select(partition)
-        touched = touched.unionByName(moved.distinct()).distinct()
-    # One value per touched partition: as bounded as the number of directories in the table.
-    values = [r[0] for r in touched.collect()]
-    if not values:
-        _delete(spark, staging)
+    write_partitioned(rows, f"{staging.path}/batch", partition)
+    touched = set((staging / "batch").subfolders())
+    if not touched:
+        staging.delete()
         return
-    hit = F.col(partition).isin([v for v in values if v is not None])
-    if None in values:
-        hit = hit | F.col(partition).isNull()
-    old = target.where(hit)  # prunes to the touched directories
-    write_partitioned(merged(old, rows, key), f"{staging}/rows", partition)
-    left = {r[0] for r in spark.read.parquet(f"{staging}/rows").select(partition).distinct()
-            .collect()}
-    gone = ["__HIVE_DEFAULT_PARTITION__" if v is None else str(v) for v in set(values) - left]
-    plan = {"partition": partition, "emptied": sorted(gone)}
-    spark.createDataFrame([(json.dumps(plan),)], "value string").coalesce(1).write.text(
-        f"{staging}/plan")
-    _finish(spark, path, staging)
+    rows = spark.read.schema(target.schema).parquet(f"{staging.path}/batch")
+    rows = rows.select(*target.columns)
+    if not partition_fixed:
+        moved = (target.where(~_in_folders(partition, touched)).select(key, partition)
+                 .join(rows.select(key), key, "left_semi")
+                 .select(F.col(partition).cast("string").alias("p")).distinct())
+        # One value per directory of the table at most.
+        touched |= {f"{partition}={NULL_PARTITION if r['p'] is None else r['p']}"
+                    for r in moved.collect()}
+    old = target.where(_in_folders(partition, touched))
+    write_partitioned(merged(old, rows, key), f"{staging.path}/rows", partition)
+    for name in touched - set((staging / "rows").subfolders()):
+        (staging / "emptied" / name).make()
+    (staging / "complete").make()
+    _finish(spark, path)
 
 
 def incremental(spark: SparkSession, path: str, source: DataFrame, build, key: str, ts: str,

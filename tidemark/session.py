@@ -20,6 +20,8 @@ SETTINGS = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(64 << 20),
     "spark.sql.parquet.filterPushdown": "true",
+    # Recording the Python call site of every column expression doubles plan-building time.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
