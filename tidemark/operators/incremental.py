@@ -135,7 +135,8 @@ def recover(spark: SparkSession, path: str) -> bool:
 
 
 def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str, partition: str,
-           latest: list[str], partition_fixed: bool = False) -> None:
+           latest: list[str], partition_fixed: bool = False,
+           target: DataFrame | None = None) -> None:
     """Replace target rows by key with the batch's rows, rewriting only touched partitions.
 
     ``partition`` is the table's partition column (a date). Of several batch rows with one key
@@ -145,11 +146,12 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str, partition
 
     New content of the touched partitions is first written beside the table. Only a complete
     staging replaces partitions, and replacing can be repeated (see :func:`recover`). One writer
-    per table at a time.
+    per table at a time. ``target`` is the stored table where the caller has it open already.
     """
-    recover(spark, path)
+    if target is None:
+        recover(spark, path)
+        target = read_target(spark, path)
     rows = dedup_latest(batch, [key], latest)
-    target = read_target(spark, path)
     if target is None:
         write_partitioned(rows, path, partition)
         return
@@ -193,7 +195,7 @@ def incremental(spark: SparkSession, path: str, source: DataFrame, build, key: s
         return
     mark = high_water_mark(target, ts)
     delta = build(high_water_filter(source, ts, mark, lateness))
-    upsert(spark, path, delta, key, partition, [ts], partition_fixed)
+    upsert(spark, path, delta, key, partition, [ts], partition_fixed, target)
 
 
 def differences(a: DataFrame, b: DataFrame, ignore: tuple[str, ...] = ()) -> DataFrame:
