@@ -106,7 +106,9 @@ def _in_folders(partition: str, folders: set[str]) -> Column:
     """Rows of the given partition directories; prunes the listing."""
     values = {unquote(f.split("=", 1)[1]) for f in folders}
     hit = F.col(partition).cast("string").isin(sorted(values - {NULL_PARTITION}))
-    return hit | F.col(partition).isNull() if NULL_PARTITION in values else hit
+    if NULL_PARTITION in values:
+        hit = hit | F.col(partition).isNull()
+    return F.coalesce(hit, F.lit(False))
 
 
 def _finish(spark: SparkSession, path: str) -> None:
