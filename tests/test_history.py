@@ -152,11 +152,26 @@ def test_copies_are_numbered_in_any_chunking(spark):
 
 
 def test_hot_keys_are_bounded(spark):
-    df = spark.createDataFrame([("a",)] * 9 + [("b",)] * 5 + [("c",)] * 2 + [(None,)] * 20,
-                               "k string")
-    assert [r.k for r in hot_keys(df, "k", 3).collect()] == ["a", "b"]
-    assert [r.k for r in hot_keys(df, "k", 3, most=1).collect()] == ["a"]
-    assert hot_keys(df, "k", 100) is None
+    df = versions(spark, [("a", "x", i) for i in range(9)] + [("b", "x", i) for i in range(5)]
+                  + [("c", "x", 1)] + [(None, "x", 1)] * 20)
+    keys = lambda *a, **k: [r[0] for r in hot_keys(
+        df, "customer_id", "updated_at", *a, **k).collect()]
+    assert keys(3) == ["a", "b"] and keys(3, most=1) == ["a"]
+    assert hot_keys(df, "customer_id", "updated_at", 15) is None
+
+
+@pytest.mark.parametrize("hot_rows", [10**6, 10, 0])
+def test_a_hot_key_within_one_instant(spark, hot_rows):
+    """A third of the table is one redelivered row, another part lies within one second."""
+    data = [("a", "x", 5)] * 40 + [("a", "y", 5)] * 3 + [("a", "z", 9)] + [("b", "q", 1)] * 2
+    data += [("c", "n", None), ("a", "n", None)]
+    got = with_next(versions(spark, data), "customer_id", "updated_at", "nxt", ["segment"], hot_rows)
+    count = {}
+    for r in got.collect():
+        count[(r.customer_id, r.segment, r.nxt)] = count.get((r.customer_id, r.segment, r.nxt), 0) + 1
+    assert count == {("a", "x", at(5)): 40, ("a", "y", at(5)): 2, ("a", "y", at(9)): 1,
+                     ("a", "z", None): 1, ("a", "n", None): 1, ("c", "n", None): 1,
+                     ("b", "q", at(1)): 1, ("b", "q", None): 1}
 
 
 @pytest.mark.parametrize("n", [0, 1, 37, 500, 1000, 5000])

@@ -1,88 +1,117 @@
 """Splitting of hot groups.
 
 A window over ``partitionBy(key)`` puts all rows of one key into one task. The helpers here
-find the few keys that are too large for that and cut each of them by calendar day, so that a
-window over ``(key, day)`` does the work and only one summary row per day has to be looked at
-across days. The answer does not depend on which keys are called hot: any choice is exact.
+find the few keys that are too large for that and cut each of them along time into slices of
+about equal duration, so that a window over ``(key, slice)`` does the work and only one summary
+row per slice has to be looked at across slices. The answer does not depend on which keys are
+called hot or how they are cut: any choice is exact.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+
+from tidemark.functions import instant_micros
 
 HOT_ROWS = 1_000_000      # a key below this many rows is left to one task
-HOT_KEYS = 10_000         # at most this many keys are cut: bounds the broadcast below
+HOT_KEYS = 10_000         # at most this many keys are cut: bounds the broadcasts below
 SLICE = "_slice"
 COPY_CHUNK = 1_000_000    # copies of one row that one task may write out
 
 
-def hot_keys(df: DataFrame, key: str, floor: int = HOT_ROWS,
+def hot_keys(df: DataFrame, key: str, ts: str, floor: int = HOT_ROWS,
              most: int = HOT_KEYS) -> DataFrame | None:
-    """The largest keys with more than ``floor`` rows, at most ``most`` of them; None for a table
-    that has no more than ``floor`` rows in all and therefore no such key.
+    """The largest keys with more than ``floor`` rows, at most ``most`` of them, with the start
+    (``_from``) and width (``_width``) in microseconds of their slices. None for a table that has
+    no more than ``floor`` rows in all and therefore no such key.
 
     Counting combines on the map side. A key that is passed over because ``most`` others are
-    larger holds less than 1/``most`` of the table.
+    larger holds less than 1/``most`` of the table. Rows without instant are not cut.
     """
-    keyed = df.select(key).where(F.col(key).isNotNull())
+    keyed = df.select(key, ts).where(F.col(key).isNotNull() & F.col(ts).isNotNull())
     if keyed.count() <= floor:
         return None
-    sizes = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    return (sizes.where(F.col("_rows") > floor)
-            .orderBy(F.col("_rows").desc(), F.col(key)).limit(most).select(key))
+    sizes = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), F.min(ts).alias("_min"),
+                                   F.max(ts).alias("_max"))
+    largest = (sizes.where(F.col("_rows") > floor)
+               .orderBy(F.col("_rows").desc(), F.col(key)).limit(most))
+    start, stop = instant_micros("_min"), instant_micros("_max")
+    slices = F.ceil(4 * F.col("_rows") / F.lit(max(floor, 1)))
+    width = F.greatest(F.ceil((stop - start) / slices), F.lit(1)).cast("bigint")
+    return largest.select(key, start.alias("_from"), width.alias("_width"))
 
 
-def with_slice(df: DataFrame, key: str, ts: Column, hot: DataFrame) -> DataFrame:
-    """Add ``_slice``: the day for rows of hot keys, NULL for all others."""
-    marked = hot.withColumn("_hot", F.lit(True))
-    return (df.join(F.broadcast(marked), key, "left")  # at most HOT_KEYS rows
-            .withColumn(SLICE, F.when(F.col("_hot"), F.to_date(ts)))
-            .drop("_hot"))
+def with_slice(df: DataFrame, key: str, ts: str, hot: DataFrame, how: str = "left") -> DataFrame:
+    """Add ``_slice``: the number of the time slice for rows of hot keys, NULL for all others
+    (which ``how="inner"`` leaves out)."""
+    number = F.floor((instant_micros(ts) - F.col("_from")) / F.col("_width"))
+    return (df.join(F.broadcast(hot), key, how)  # at most HOT_KEYS rows
+            .withColumn(SLICE, F.when(F.col("_width").isNotNull(), number))
+            .drop("_from", "_width"))
 
 
 def with_next(df: DataFrame, key: str, ts: str, out: str, ties: list[str] | None = None,
               hot_rows: int = HOT_ROWS) -> DataFrame:
     """``lead(ts) over (partition by key order by ts)`` that survives hot keys.
 
-    Rows of hot keys are windowed per day; a marker row holding the first instant of the key's
-    next day closes each day. NULL instants sort last.
+    Hot keys go their own way: copies of a row are counted, the remaining rows are windowed per
+    slice with a marker row at the end of each slice that holds the first instant of the next,
+    and the copies are written out again. NULL instants sort last.
     """
     order = [F.col(ts).asc_nulls_last()]
     order += [F.col(c).asc_nulls_last() for c in (ties or [])]
-    hot = hot_keys(df, key, hot_rows)
+    per_key = F.lead(ts).over(Window.partitionBy(key).orderBy(*order))
+    hot = hot_keys(df, key, ts, hot_rows)
     if hot is None:
-        return df.withColumn(out, F.lead(ts).over(Window.partitionBy(key).orderBy(*order)))
-    rows = with_slice(df, key, F.col(ts), hot).withColumn("_mark", F.lit(False))
-    days = (df.select(key, ts).where(F.col(ts).isNotNull())
-            .join(F.broadcast(hot), key)
-            .groupBy(key, F.to_date(ts).alias(SLICE)).agg(F.min(ts).alias("_first")))
+        return df.withColumn(out, per_key)
+    # NULL instants close the history of their key and carry none on: apart from hot rows.
+    timed = df.where(F.col(ts).isNotNull())
+    cold = df.join(F.broadcast(hot.select(key)), key, "left_anti").withColumn(out, per_key)
+    untimed = (df.where(F.col(ts).isNull()).join(F.broadcast(hot.select(key)), key, "left_semi")
+               .withColumn(out, F.col(ts)))
+
+    distinct = (with_slice(timed, key, ts, hot, "inner").groupBy(*df.columns, SLICE)
+                .agg(F.count(F.lit(1)).alias("_copies")))
+    firsts = distinct.groupBy(key, SLICE).agg(F.min(ts).alias("_first"))
     across = Window.partitionBy(key).orderBy(SLICE)
-    marks = (days.withColumn(ts, F.lead("_first").over(across)).drop("_first")
-             .where(F.col(ts).isNotNull()).withColumn("_mark", F.lit(True)))
+    marks = (firsts.withColumn(ts, F.lead("_first").over(across)).drop("_first")
+             .where(F.col(ts).isNotNull()).withColumn("_copies", F.lit(0).cast("bigint")))
     within = Window.partitionBy(key, SLICE).orderBy(*order)
-    return (rows.unionByName(marks, allowMissingColumns=True)
-            .withColumn(out, F.lead(ts).over(within))
-            .where(~F.col("_mark")).drop("_mark", SLICE))
+    chained = (distinct.unionByName(marks, allowMissingColumns=True)
+               .withColumn(out, F.lead(ts).over(within)).where(F.col("_copies") > 0).drop(SLICE))
+    copies = expand_copies(chained, "_copies", "_copy")
+    # All copies but the last are followed by a copy of themselves.
+    hot_rows_ = copies.withColumn(
+        out, F.when(F.col("_copy") < F.col("_copies"), F.col(ts)).otherwise(F.col(out))
+    ).select(*df.columns, out)
+    return (cold.select(*df.columns, out).unionByName(untimed.select(*df.columns, out))
+            .unionByName(hot_rows_))
+
+
+def expand_copies(counted: DataFrame, n: str, out: str, chunk: int = COPY_CHUNK) -> DataFrame:
+    """Write out every row ``n`` times, numbered 1..n in ``out``; a row with more than ``chunk``
+    copies is written out by several tasks."""
+    columns, c = counted.columns, F.col(n)
+    one = F.lit(1).cast("bigint")
+    few = counted.where(c <= chunk).select(*columns, F.explode(F.sequence(one, c)).alias(out))
+    first = F.col("_part") * chunk + 1
+    many = (counted.where(c > chunk)
+            .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"),
+                                                      F.floor((c - 1) / chunk))))
+            .repartition(*columns, "_part")
+            .select(*columns, F.explode(
+                F.sequence(first, F.least(first + chunk - 1, c))).alias(out)))
+    return few.unionByName(many)
 
 
 def number_copies(df: DataFrame, out: str, chunk: int = COPY_CHUNK) -> DataFrame:
     """Number the copies of every distinct row 1..n without gathering them in one task.
 
-    Copies are first counted (combining on the map side) and then written out again; a row with
-    more than ``chunk`` copies is written out by several tasks.
+    Copies are first counted (combining on the map side) and then written out again.
     """
     columns = df.columns
     counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    n = F.col("_copies")
-    one = F.lit(1).cast("bigint")
     if df.count() <= chunk:  # answered from file footers where the rows come straight from Parquet
-        return counted.select(*columns, F.explode(F.sequence(one, n)).alias(out))
-    few = counted.where(n <= chunk).select(*columns, F.explode(F.sequence(one, n)).alias(out))
-    first = F.col("_part") * chunk + 1
-    many = (counted.where(n > chunk)
-            .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                      F.floor((n - 1) / chunk))))
-            .repartition(*columns, "_part")
-            .select(*columns, F.explode(
-                F.sequence(first, F.least(first + chunk - 1, n))).alias(out)))
-    return few.unionByName(many)
+        numbers = F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))
+        return counted.select(*columns, F.explode(numbers).alias(out))
+    return expand_copies(counted, "_copies", out, chunk).drop("_copies")

@@ -77,52 +77,43 @@ def _is_small(history: DataFrame) -> bool:
 
 def _merge_asof(fact: DataFrame, history: DataFrame, key: str, ts: str, take: list[str],
                 hot_rows: int) -> DataFrame:
-    columns = fact.columns
+    """Find the version for every distinct (key, instant) of the fact, then join it to the fact.
+
+    Only keys and instants are sorted against the history; the fact itself is shuffled once, on
+    (key, instant), where neither a hot key nor NULL keys gather.
+    """
     version = F.struct("valid_to", *take)
-    usable = F.col(key).isNotNull() & F.col(ts).isNotNull()
-    facts = fact.where(usable).select(
-        F.col(key).alias("_k"), F.col(ts).alias("_t"), F.struct(*columns).alias("_fact"))
+    instants = (fact.select(F.col(key).alias("_k"), F.col(ts).alias("_t"))
+                .where(F.col("_k").isNotNull() & F.col("_t").isNotNull()).distinct())
     starts = history.where(F.col("_k").isNotNull()).select(
         "_k", F.col("valid_from").alias("_t"), version.alias("_version"))
-
-    both = facts.select("_k").unionByName(starts.select("_k"))
-    hot = hot_keys(both, "_k", hot_rows)
-    if hot is None:
-        uncut = F.lit(None).cast("date")
-        events = (starts.withColumn(SLICE, uncut).withColumn("_kind", F.lit(1))
-                  .unionByName(facts.withColumn(SLICE, uncut).withColumn("_kind", F.lit(2)),
-                               allowMissingColumns=True))
-    else:
-        events = (with_slice(starts, "_k", F.col("_t"), hot).withColumn("_kind", F.lit(1))
-                  .unionByName(_carried_in(facts, starts, hot))
-                  .unionByName(with_slice(facts, "_k", F.col("_t"), hot)
-                               .withColumn("_kind", F.lit(2)), allowMissingColumns=True))
-    upto = (Window.partitionBy("_k", SLICE)
-            .orderBy("_t", "_kind", F.col("_version.valid_to"))
+    events = (starts.withColumn("_kind", F.lit(1))
+              .unionByName(instants.withColumn("_kind", F.lit(2)), allowMissingColumns=True))
+
+    groups = ["_k"]
+    hot = hot_keys(events, "_k", "_t", hot_rows)
+    if hot is not None:
+        groups = ["_k", SLICE]
+        events = with_slice(events, "_k", "_t", hot).unionByName(_carried_in(events, hot))
+    upto = (Window.partitionBy(*groups).orderBy("_t", "_kind", F.col("_version.valid_to"))
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    joined = (events.withColumn("_state", F.last("_version", ignorenulls=True).over(upto))
-              .where(F.col("_kind") == 2))
-    in_force = F.col("_t") < F.col("_state.valid_to")
-    found = joined.select(
-        "_fact.*", *[F.when(in_force, F.col(f"_state.{c}")).alias(c) for c in take])
-    types = {f.name: f.dataType for f in history.schema.fields}
-    without = fact.where(~usable).select(
-        *columns, *[F.lit(None).cast(types[c]).alias(c) for c in take])
-    return found.unionByName(without)
-
-
-def _carried_in(facts: DataFrame, starts: DataFrame, hot: DataFrame) -> DataFrame:
-    """State at the beginning of each day of a hot key: the last version of an earlier day."""
-    days = (starts.unionByName(facts.select("_k", "_t"), allowMissingColumns=True)
-            .join(F.broadcast(hot), "_k")  # at most HOT_KEYS rows
-            .groupBy("_k", F.to_date("_t").alias(SLICE))
-            .agg(F.max(F.when(F.col("_version").isNotNull(),
-                              F.struct("_t", "_version"))).alias("_last")))
+    states = (events.withColumn("_state", F.last("_version", ignorenulls=True).over(upto))
+              .where((F.col("_kind") == 2) & (F.col("_t") < F.col("_state.valid_to")))
+              .select("_k", "_t", *[F.col(f"_state.{c}").alias(c) for c in take]))
+    same = (F.col(key) == F.col("_k")) & (F.col(ts) == F.col("_t"))
+    return fact.join(states, same, "left").drop("_k", "_t")
+
+
+def _carried_in(events: DataFrame, hot: DataFrame) -> DataFrame:
+    """The version a hot key is in at the start of each slice: the last one of earlier slices."""
+    started = F.when(F.col("_kind") == 1,
+                     F.struct("_t", F.col("_version.valid_to").alias("to"), "_version"))
+    slices = (with_slice(events, "_k", "_t", hot, "inner")
+              .groupBy("_k", SLICE).agg(F.max(started).alias("_last")))
     earlier = Window.partitionBy("_k").orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    return (days.withColumn("_in", F.last("_last", ignorenulls=True).over(earlier))
+    return (slices.withColumn("_in", F.last("_last", ignorenulls=True).over(earlier))
             .where(F.col("_in").isNotNull())
-            .select("_k", SLICE, F.col(SLICE).cast("timestamp_ntz").alias("_t"),
-                    F.col("_in._version").alias("_version"), F.lit(0).alias("_kind")))
+            .select("_k", SLICE, "_in._t", "_in._version", F.lit(1).alias("_kind")))
 
 
 def scd2_overlaps(dim: DataFrame, key: str = "customer_natural_key",
