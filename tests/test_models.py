@@ -13,7 +13,7 @@ from tidemark.functions import (account_balance_tier, amount_bucket, batch_label
                                 product_attributes, stable_bucket, step_instant, surrogate_key,
                                 whole_years)
 from tidemark.operators import channels, dimensions, facts, silver
-from tidemark.operators.lookup import lookup, lookup_nullable, measured_bytes, orphans
+from tidemark.operators.lookup import lookup, measured_bytes, orphans
 from tidemark.plans import reports
 from tidemark.sources.feed_mapping import map_feed
 
@@ -259,12 +259,42 @@ def test_entity_bucket_of_an_empty_pool(spark):
     assert channels.entity_bucket(names, "name", pool, "id", "who").first().who is None
 
 
-def test_nullable_lookup_agrees_with_a_plain_one(spark, rows):
+def test_lookup_keeps_rows_and_matches_keys(spark, rows):
     fact = spark.createDataFrame([(i, None if i % 3 else f"k{i % 4}") for i in range(60)],
                                  "id int, k string")
-    dim = spark.createDataFrame([("k0", "zero"), ("k1", "one"), ("", "empty")], "d string, name string")
-    plain, spread = lookup(fact, dim, "k", "d"), lookup_nullable(fact, dim, "k", "d", "id")
-    assert rows(plain, "id", "k", "name") == rows(spread, "id", "k", "name")
+    dim = spark.createDataFrame([("k0", "zero"), ("k1", "one"), ("", "empty"), (None, "none")],
+                                "d string, name string")
+    plain = fact.join(dim, fact.k == dim.d, "left").drop("d")
+    assert rows(lookup(fact, dim, "k", "d", "id")) == rows(plain)
+
+
+def test_hot_and_null_keys_are_split(spark):
+    """Without broadcast, half of the rows on one key, a quarter on NULL."""
+    settings_ = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                 "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                 "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200k",
+                 "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                 "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100k",
+                 "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
+                 "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k, None) for k in settings_}
+    try:
+        for k, v in settings_.items():
+            spark.conf.set(k, v)
+        n = F.col("id") % 4
+        key = F.when(n < 2, F.lit("hot")).when(n == 2, F.col("id").cast("string"))
+        fact = spark.range(0, 200_000, 1, 8).withColumn("k", key).withColumn("p", F.md5(F.col("id").cast("string")))
+        versions = spark.range(50_000).selectExpr("if(id = 1, 'hot', cast(id as string)) as d",
+                                                  "timestamp_ntz'2024-01-01 00:00:00' as t")
+        dim = dimensions.scd2(versions, "d", "t").select(F.col("customer_natural_key").alias("d"), "customer_key")
+        joined = lookup(fact, dim, "k", "d", "id")
+        result = joined.agg(F.count("customer_key"), F.max(F.xxhash64("p", "id", "k")))
+        assert result.collect()[0][0] == 100_000 + 12_500
+        plan = result._jdf.queryExecution().executedPlan().toString()
+        assert "skew=true" in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_measured_bytes_grows_with_text(spark):

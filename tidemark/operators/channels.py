@@ -8,6 +8,7 @@ from tidemark.contracts import STEP_ZERO
 from tidemark.functions import (MONEY, content_hash, deposit_category, entry_mode, is_high_risk,
                                 parse_money, sign_type, stable_bucket, step_instant, typed_null)
 from tidemark.operators.hotkeys import COPY_CHUNK, number_copies
+from tidemark.operators.lookup import lookup
 
 ONE_TASK_ROWS = 100_000   # a pool this small is numbered by one task
 NUMBER_GROUPS = 256
@@ -122,15 +123,16 @@ def unify(card: DataFrame, money: DataFrame, channel: DataFrame, customer: DataF
     table one row per calendar day, which bounds both broadcasts; the other dimensions are
     broadcast only if Spark finds them small.
     """
-    card_keys = cards.select(F.col("card_natural_key").cast("string").alias("card_id"), "card_key")
-    merchant_keys = merchant.select(F.col("merchant_natural_key").alias("merchant_id"),
-                                    "merchant_key")
-    with_card = card.join(card_keys, "card_id", "left").join(merchant_keys, "merchant_id", "left")
-    without = (money.withColumn("card_key", typed_null("string"))
-               .withColumn("merchant_key", typed_null("string")))
-    both = with_card.unionByName(without)
-    customer_keys = customer.select("customer_natural_key", "customer_key")
-    u = (both.join(customer_keys, "customer_natural_key", "left")
+    card_keys = cards.select(F.col("card_natural_key").cast("string").alias("_card"), "card_key")
+    merchant_keys = merchant.select("merchant_natural_key", "merchant_key")
+    customer_keys = customer.select(F.col("customer_natural_key").alias("_customer"),
+                                    "customer_key")
+    with_card = lookup(card, card_keys, "card_id", "_card", "transaction_id")
+    with_card = lookup(with_card, merchant_keys, "merchant_id", "merchant_natural_key",
+                       "transaction_id")
+    both = with_card.unionByName(money.select(
+        "*", typed_null("string").alias("card_key"), typed_null("string").alias("merchant_key")))
+    u = (lookup(both, customer_keys, "customer_natural_key", "_customer", "transaction_id")
          .join(F.broadcast(channel.select("channel", "channel_key")), "channel", "left")
          .join(F.broadcast(dates.select("date_key")), F.col("txn_date") == F.col("date_key"),
                "left"))

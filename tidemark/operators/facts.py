@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.functions import amount_bucket, detection_outcome, is_high_risk
+from tidemark.operators.lookup import lookup
 from tidemark.operators.scd2 import scd2_current
 
 
@@ -23,9 +24,8 @@ def fact_transactions(transactions: DataFrame, customers: DataFrame, accounts: D
     account = (accounts.select(F.col("account_natural_key").alias("_account"), "account_key",
                                "account_type", "product_id")
                .join(product, "product_id", "left").drop("product_id"))
-    t = transactions
-    joined = (t.join(customer, F.col("customer_id") == F.col("_customer"), "left")
-              .join(account, F.col("account_id") == F.col("_account"), "left"))
+    joined = lookup(transactions, customer, "customer_id", "_customer", "transaction_id")
+    joined = lookup(joined, account, "account_id", "_account", "transaction_id")
     return joined.select(
         "transaction_id", "customer_key", "account_key", "product_key",
         "amount", "balance_before", "balance_after",

@@ -12,25 +12,23 @@ from pyspark.sql import DataFrame, functions as F, types as T
 NULL_SPREAD = 1024
 
 
-def lookup(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
-    """Left join on one key; the dimension's key column is dropped."""
-    return fact.join(dim, fact[fact_key] == dim[dim_key], "left").drop(dim[dim_key])
-
-
-def lookup_nullable(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                    row_id: str) -> DataFrame:
-    """Left join for a key that is often NULL.
-
-    A shuffle would send every NULL key to one task. They cannot match, so they get a second
-    key part drawn from the row id that spreads them; the dimension has 0 there.
+def lookup(fact: DataFrame, dim: DataFrame, key: str, dim_key: str, row_id: str) -> DataFrame:
+    """Left join of a fact to the one row of a dimension its key names; ``dim_key`` is dropped.
+
+    The join has a second key part. It is 0 on both sides where the fact has a key. Rows without
+    key cannot match and get a number drawn from their row id, so that a shuffle spreads them.
+    It also keeps a dimension that is already partitioned by its key (say by the window that
+    built it) from being joined as it stands: AQE splits a hot key only between two shuffles
+    made for the join itself.
     """
-    spread = F.when(F.col(fact_key).isNull(),
-                    F.pmod(F.xxhash64(row_id), F.lit(NULL_SPREAD)) + 1).otherwise(F.lit(0))
-    left = (fact.withColumn("_spread", spread.cast("int"))
-            .withColumn("_key", F.coalesce(F.col(fact_key).cast("string"), F.lit(""))))
-    right = (dim.withColumn("_spread", F.lit(0))
-             .withColumn("_key", F.col(dim_key).cast("string")).drop(dim_key))
-    return left.join(right, ["_key", "_spread"], "left").drop("_key", "_spread")
+    spread = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(row_id), F.lit(NULL_SPREAD)) + 1) \
+              .otherwise(F.lit(0).cast("bigint"))
+    left = fact.withColumn("_spread", spread)
+    # One bucket: always 0, but not a constant that the optimizer would take out of the join.
+    right = dim.withColumn("_one", F.pmod(F.xxhash64(dim_key), F.lit(1)))
+    return (left.join(right.withColumnRenamed(dim_key, "_dim_key"),
+                      (F.col(key) == F.col("_dim_key")) & (F.col("_spread") == F.col("_one")),
+                      "left").drop("_dim_key", "_spread", "_one"))
 
 
 def measured_bytes(df: DataFrame) -> int:
