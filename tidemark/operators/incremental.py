@@ -102,6 +102,12 @@ def read_target(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def _folders_of(df: DataFrame, partition: str) -> set[str]:
+    """Partition directories the rows belong to; at most one name per directory of the table."""
+    found = df.select(F.col(partition).cast("string").alias("p")).distinct().collect()
+    return {f"{partition}={NULL_PARTITION if r['p'] is None else r['p']}" for r in found}
+
+
 def _in_folders(partition: str, folders: set[str]) -> Column:
     """Rows of the given partition directories; prunes the listing."""
     values = {unquote(f.split("=", 1)[1]) for f in folders}
@@ -159,20 +165,17 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str, partition
         return
     staging = Folder(spark, f"{path}_staging")
     # The batch is used several times below: written once, it is not computed again.
-    write_partitioned(rows, f"{staging.path}/batch", partition)
-    touched = set((staging / "batch").subfolders())
+    rows.write.mode("overwrite").parquet(f"{staging.path}/batch")
+    rows = spark.read.schema(rows.schema).parquet(f"{staging.path}/batch")
+    rows = rows.select(*target.columns)
+    touched = _folders_of(rows, partition)
     if not touched:
         staging.delete()
         return
-    rows = spark.read.schema(target.schema).parquet(f"{staging.path}/batch")
-    rows = rows.select(*target.columns)
     if not partition_fixed:
         moved = (target.where(~_in_folders(partition, touched)).select(key, partition)
-                 .join(rows.select(key), key, "left_semi")
-                 .select(F.col(partition).cast("string").alias("p")).distinct())
-        # One value per directory of the table at most.
-        touched |= {f"{partition}={NULL_PARTITION if r['p'] is None else r['p']}"
-                    for r in moved.collect()}
+                 .join(rows.select(key), key, "left_semi"))
+        touched |= _folders_of(moved, partition)
     old = target.where(_in_folders(partition, touched))
     write_partitioned(merged(old, rows, key), f"{staging.path}/rows", partition)
     for name in touched - set((staging / "rows").subfolders()):
