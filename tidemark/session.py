@@ -26,8 +26,7 @@ SETTINGS = {
 
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings above; keyword arguments add or override settings
-    (``spark_sql_shuffle_partitions="8"`` style names are not needed: pass a dict via **)."""
+    """A session with the settings above; ``**{"spark.…": "…"}`` adds to or overrides them."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
