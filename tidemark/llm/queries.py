@@ -3,18 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, sharding
+from tidemark.llm import bpe, neardup, sharding
+from tidemark.llm.ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[f.__name__] = f
-    return f
+    @wraps(f)
+    def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return f(spark, sf_dir)
+
+    QUERIES[f.__name__] = shipped
+    return shipped
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,3 +37,8 @@ def op1_sharding(spark, sf_dir):
 def op6_byte_bpe(spark, sf_dir):
     return bpe.encode_digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
                               public_tokenizers.PATTERN)
+
+
+@query
+def op8_minhash_near_dedup(spark, sf_dir):
+    return neardup.near_duplicates(documents(spark, sf_dir), width=3, share=85)

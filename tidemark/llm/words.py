@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: The separators of words, and for loose comparison all ASCII punctuation too.
 WHITE = bytes([0x20, *range(0x09, 0x0E)])
@@ -42,7 +43,7 @@ def binary(column: pa.Array) -> pa.Array:
 
 def chunks(batch: pa.RecordBatch, column: str, limit: int = _CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of consecutive rows with about limit bytes of text; a longer text is a slice of its own."""
-    sizes = pa.compute.binary_length(batch.column(column).cast(pa.large_binary())).fill_null(0).to_numpy(zero_copy_only=False)
+    sizes = pc.binary_length(batch.column(column).cast(pa.large_binary())).fill_null(0).to_numpy(zero_copy_only=False)
     first, total = 0, 0
     for i, size in enumerate(sizes):
         if i > first and total + size > limit:
