@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, neardup, sharding
+from tidemark.llm import bpe, neardup, sharding, substrings
 from tidemark.llm.ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,11 @@ def op1_sharding(spark, sf_dir):
     return sharding.shard_documents(documents(spark, sf_dir), 16)
 
 
+@query
+def op3_substring_dedup(spark, sf_dir):
+    return substrings.removal_digests(documents(spark, sf_dir), window=13)
+
+
 @query
 def op6_byte_bpe(spark, sf_dir):
     return bpe.encode_digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
