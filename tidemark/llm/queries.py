@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, neardup, quality, sharding, substrings
+from tidemark.llm import bpe, lattice_lm, neardup, quality, sharding, substrings
 from tidemark.llm.ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,11 @@ def op4_quality_classifier(spark, sf_dir):
     return quality.score_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+@query
+def op5_lattice_lm(spark, sf_dir):
+    return lattice_lm.score_documents(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query
 def op6_byte_bpe(spark, sf_dir):
     return bpe.encode_digests(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
