@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, lattice_lm, neardup, quality, sharding, substrings
+from tidemark.llm import bpe, fingerprints, lattice_lm, neardup, quality, sharding, substrings
 from tidemark.llm.ship import ship
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +54,11 @@ def op6_byte_bpe(spark, sf_dir):
                               public_tokenizers.PATTERN)
 
 
+@query
+def op7_fingerprints(spark, sf_dir):
+    return fingerprints.compare_with_edits(documents(spark, sf_dir))
+
+
 @query
 def op8_minhash_near_dedup(spark, sf_dir):
     return neardup.near_duplicates(documents(spark, sf_dir), width=3, share=85)
