@@ -8,8 +8,9 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, fingerprints, lattice_lm, neardup, quality, sharding, substrings
+from tidemark.llm import bpe, fingerprints, lattice_lm, neardup, quality, sharding, substrings, token_files
 from tidemark.llm.ship import ship
+from tidemark.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -62,3 +63,10 @@ def op7_fingerprints(spark, sf_dir):
 @query
 def op8_minhash_near_dedup(spark, sf_dir):
     return neardup.near_duplicates(documents(spark, sf_dir), width=3, share=85)
+
+
+@query
+def op9_token_files(spark, sf_dir):
+    path = scratch_dir(spark, "token-files")
+    token_files.write(documents(spark, sf_dir), path, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    return token_files.read(spark, path)
