@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from tidemark.llm.words import chunks, hash_pieces, mix
 
@@ -164,12 +165,10 @@ def tokenizer(rank_file: str, pattern: str) -> ByteBPE:
 def encode(docs: DataFrame, rank_file: str, pattern: str, text: str = "text") -> DataFrame:
     """docs with the column ids (array<int>): the tokens of each whole text, without special tokens.
 
-    A null or empty text has no tokens. A narrow map: nothing is shuffled. The rank file must lie at the same
+    A null or empty text has no tokens. The ids are decoded again; were the bytes not those of the text, the task would
+    fail. A narrow map: nothing is shuffled. The rank file must lie at the same
     place on all executors, as an installed package does. A column ids that docs has is replaced.
     """
-    import pyspark.sql.functions as F
-    from pyspark.sql import types as T
-
     kept = docs.drop("ids")
     schema = T.StructType([*kept.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
@@ -177,10 +176,13 @@ def encode(docs: DataFrame, rank_file: str, pattern: str, text: str = "text") ->
         coder = tokenizer(rank_file, pattern)
         for batch in batches:
             for part in chunks(batch, text):
-                ids = coder.encode([t or "" for t in part.column(text).to_pylist()])
+                texts = [t or "" for t in part.column(text).to_pylist()]
+                ids = coder.encode(texts)
+                if any(coder.decode(i) != t.encode() for i, t in zip(ids, texts, strict=True)):
+                    raise ValueError("decoded bytes differ from the text")
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(ids, pa.list_(pa.int32()))], [*part.schema.names, "ids"])
 
-    return kept.mapInArrow(run, schema) if kept.columns else kept.withColumn("ids", F.lit(None))
+    return kept.mapInArrow(run, schema)
 
 
 def encode_digests(docs: DataFrame, rank_file: str, pattern: str) -> DataFrame:

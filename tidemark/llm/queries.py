@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, fingerprints, lattice_lm, neardup, quality, sharding, substrings, token_files
+from tidemark.llm import bpe, decontam, fingerprints, lattice_lm, neardup, preference, quality, sharding, substrings, token_files
 from tidemark.llm.ship import ship
 from tidemark.session import scratch_dir
 
@@ -34,6 +34,11 @@ def op1_sharding(spark, sf_dir):
     return sharding.shard_documents(documents(spark, sf_dir), 16)
 
 
+@query
+def op2_decontamination(spark, sf_dir):
+    return decontam.leaks(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 @query
 def op3_substring_dedup(spark, sf_dir):
     return substrings.removal_digests(documents(spark, sf_dir), window=13)
@@ -70,3 +75,8 @@ def op9_token_files(spark, sf_dir):
     path = scratch_dir(spark, "token-files")
     token_files.write(documents(spark, sf_dir), path, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
     return token_files.read(spark, path)
+
+
+@query
+def op10_preference_format(spark, sf_dir):
+    return preference.preferences(spark.read.parquet(f"{sf_dir}/conversations.parquet"))

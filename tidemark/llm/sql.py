@@ -2,4 +2,69 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+_WORD = r"[^\x20\x09-\x0D]+"
+
+
+#: crc32 by the usual table of 256 remainders, a byte at a time.
+_OP1 = f"""
+with recursive bits as (
+    select b, b as r, 0 as k from range(256) t(b)
+    union all select b, case when r & 1 = 1 then xor(r >> 1, 3988292384) else r >> 1 end, k + 1 from bits where k < 8),
+crc as (select list(r order by b) as t from bits where k = 8),
+texts as (select doc_id, encode(coalesce(text, '')) as raw from documents),
+sums as (
+    select doc_id, octet_length(raw) + 1 as size,
+           xor(list_reduce(list_prepend(4294967295, list_transform(regexp_extract_all(hex(raw), '..'), lambda h: ('0x' || h)::bigint)),
+               lambda c, x: xor(c >> 8, crc.t[(xor(c, x) & 255) + 1])), 4294967295)::bigint as text_crc32
+    from texts, crc),
+bids as (
+    select doc_id, s, -1.0 / ln((('0x' || md5(doc_id::varchar || ':' || s)[1:13])::bigint::double + 0.5) / 4503599627370496.0) as bid
+    from documents, range(17) t(s)),
+best as (select doc_id, arg_max(s, bid) filter (s < 16) as shard, arg_max(s, bid) as grown_shard from bids group by doc_id)
+select doc_id, size::bigint as size, text_crc32, 'key' as law, shard::int as shard,
+       row_number() over (partition by shard order by md5(doc_id::varchar)[1:3], doc_id) - 1 as slot, grown_shard::int as grown_shard
+from sums join best using (doc_id)
+"""
+
+_OP3 = rf"""
+with docs as (select doc_id, case when coalesce(text, '') = '' then []::varchar[] else regexp_extract_all(text, '{_WORD}') end as w from documents),
+places as (select doc_id, w, unnest(range(1, len(w) - 11)) as i from docs where len(w) >= 13),
+grams as (select doc_id, i, array_to_string(w[i : i + 12], ' ') as gram from places),
+firsts as (select gram, min(doc_id) as owner from grams group by gram),
+gone as (select distinct doc_id, unnest(range(i, i + 13)) as i from grams join firsts using (gram) where owner < doc_id),
+words as (select doc_id, unnest(w) as word, unnest(range(1, len(w) + 1)) as i from docs),
+kept as (select doc_id, string_agg(word, ' ' order by i) as text, count(*) as n from words anti join gone using (doc_id, i) group by doc_id)
+select doc_id, len(w)::bigint as n_words, (len(w) - coalesce(n, 0))::bigint as n_removed, sha256(coalesce(kept.text, '')) as kept_sha256
+from docs left join kept using (doc_id)
+"""
+
+
+def _render(turns: str) -> str:
+    return f"array_to_string(list_transform({turns}, lambda t: '<|im_start|>' || t.role || chr(10) || t.text || '<|im_end|>' || chr(10)), '')"
+
+
+def _mask(turns: str) -> str:
+    return (f"array_to_string(list_transform({turns}, lambda t: (length(t.role) + 13)::varchar || ':0,' || (length(t.text) + 11)::varchar || "
+            "case when t.role = 'assistant' then ':1' else ':0' end), ',')")
+
+
+_OP10 = f"""
+with convs as (
+    select conv_id, list({{'role': coalesce(role, ''), 'text': coalesce(text, '')}} order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as c
+    from conversations group by conv_id),
+placed as (
+    select conv_id, c, coalesce(nullif(len(c) - coalesce(list_position(list_reverse(list_transform(c, lambda t: t.role)), 'assistant'), 0), len(c)), len(c)) as i from convs),
+replies as (select conv_id, c, i, coalesce(c[i + 1].text, '') as reply from placed),
+nexts as (
+    select conv_id, c, i, coalesce(lead(reply) over o, first_value(reply) over o) as other from replies window o as (order by conv_id nulls first)),
+pairs as (select conv_id, c, list_concat(list_concat(c[1:i], [{{'role': 'assistant', 'text': other}}]), c[i + 2:]) as r from nexts),
+counted as (
+    select conv_id, c, r, coalesce(list_position(list_transform(range(1, least(len(c), len(r)) + 1), lambda k: c[k] = r[k]), false), 0) as p from pairs),
+cut as (select conv_id, c, r, (case when p > 0 then p - 1 when len(c) = len(r) then len(c) else least(len(c), len(r)) end)::int as n_common from counted),
+parts as (select conv_id, n_common, c[1:n_common] as prompt, c[n_common + 1:] as c, r[n_common + 1:] as r from cut)
+select conv_id, n_common, {_render('prompt')} as prompt, {_render('c')} as chosen, {_mask('c')} as chosen_mask,
+       {_render('r')} as rejected, {_mask('r')} as rejected_mask
+from parts
+"""
+
+ORACLES: dict[str, str] = {"op1_sharding": _OP1, "op3_substring_dedup": _OP3, "op10_preference_format": _OP10}
