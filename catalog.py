@@ -181,7 +181,7 @@ def _segment_at(s, strategy, hot_rows=scd2.HOT_ROWS):
 
 @query
 def scd2_asof_join(s):
-    return _segment_at(s, "auto")
+    return _segment_at(s, "search")
 
 
 @query

@@ -76,7 +76,7 @@ def test_open_end_may_be_null(spark, rows):
     assert len(rows(scd2.scd2_as_of(dim, "2030-01-01 00:00:00"))) == 1
 
 
-@pytest.mark.parametrize("strategy,hot_rows", [("auto", 10**6), ("broadcast", 10**6),
+@pytest.mark.parametrize("strategy,hot_rows", [("search", 10**6),
                                                ("merge", 10**6), ("merge", 5), ("merge", 0)])
 def test_asof_join_agrees_with_search(spark, strategy, hot_rows):
     rng = random.Random(3)

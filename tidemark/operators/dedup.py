@@ -17,26 +17,31 @@ def dedup_latest(df: DataFrame, keys: list[str], latest: list[Column | str]) ->
             .where(F.col("_rank") == 1).drop("_rank"))
 
 
-def exact_sample(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
+def exact_sample(df: DataFrame, n: int, key: str, seed: int = 42, sorted_rows: int = 100_000) -> DataFrame:
     """Exactly ``n`` rows (all if there are fewer), the same on every run: the smallest md5s.
 
-    A histogram of the hash's first three digits (4,096 counters) finds the digit group in
-    which the n-th row lies. Groups below are taken whole and in parallel; only that one group
-    is sorted for the rest.
+    A row without a key is hashed by its content. A histogram of three digits of the hash (4,096
+    counters) finds the digit group in which the n-th row lies; while that group has more than
+    ``sorted_rows`` rows the next three digits cut it again. Groups below are taken whole and in
+    parallel; only the last group is sorted for the rest. The answer does not depend on ``sorted_rows``.
     """
-    digits = 3
-    hashed = df.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))))
-    group = F.substring("_h", 1, digits)
-    counts = hashed.groupBy(group.alias("g")).agg(F.count(F.lit(1)).alias("n"))
-    running = F.sum("n").over(Window.orderBy("g"))  # at most 4,096 counters
-    edge = (counts.withColumn("upto", running).where(F.col("upto") >= n)
-            .orderBy("upto").select("g", (F.col("upto") - F.col("n")).alias("before")).first())
-    if edge is None:
-        return df
-    whole = hashed.where(group < edge["g"])
+    name = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("null:"), F.xxhash64(*df.columns).cast("string")))
+    hashed = df.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}:"), name)))
+    prefix, before, size = "", 0, None
+    for digits in range(3, 33, 3):
+        group = F.substring("_h", 1, digits)
+        counts = (hashed.where(F.col("_h").startswith(prefix)).groupBy(group.alias("g")).agg(F.count(F.lit(1)).alias("n")))
+        running = F.sum("n").over(Window.orderBy("g"))  # at most 4,096 counters
+        edge = (counts.withColumn("upto", running).where(F.col("upto") >= n - before)
+                .orderBy("upto").select("g", "n", (F.col("upto") - F.col("n")).alias("below")).first())
+        if edge is None:
+            return df
+        prefix, size, before = edge["g"], edge["n"], before + edge["below"]
+        if size <= sorted_rows:
+            break
+    whole = hashed.where(F.substring("_h", 1, len(prefix)) < prefix)
     others = [c for c in df.columns if c != key]
-    rest = (hashed.where(group == edge["g"]).orderBy("_h", key, *others)
-            .limit(n - edge["before"]))
+    rest = hashed.where(F.col("_h").startswith(prefix)).orderBy("_h", key, *others).limit(n - before)
     return whole.unionByName(rest).drop("_h")
 
 

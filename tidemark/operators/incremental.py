@@ -25,13 +25,14 @@ def high_water_filter(df: DataFrame, column: str, mark: str, lateness: str | Non
     """Rows strictly after the mark. The mark is a literal, so it reaches the Parquet scan.
 
     A strict comparison never sees rows that arrive late or tie the mark. ``lateness`` (such as
-    ``"2 days"``) reads that much again; the key upsert makes re-reading harmless.
+    ``"2 days"``) reads that much again; the key upsert makes re-reading harmless. Rows without an
+    instant are never before the mark: every run reads them, as a full refresh does.
     """
     limit = ntz(mark)
     if lateness:
         limit = limit - F.expr(f"INTERVAL {lateness}")
-        return df.where(F.col(column) >= limit)
-    return df.where(F.col(column) > limit)
+    after = F.col(column) >= limit if lateness else F.col(column) > limit
+    return df.where(after | F.col(column).isNull())
 
 
 def by_month(df: DataFrame, date: str, out: str = "transaction_month") -> DataFrame:
@@ -49,11 +50,18 @@ def write_partitioned(df: DataFrame, path: str, partition: str) -> None:
      .option("partitionOverwriteMode", "static").partitionBy(partition).parquet(path))
 
 
-def merged(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
-    """Target rows whose key is not in the batch, then the batch."""
-    keys = batch.select(key)
-    kept = target.join(keys, key, "left_anti").select(*target.columns)
-    return kept.unionByName(batch)
+def one_per_key(df: DataFrame, key: str, latest: list[str | Column]) -> DataFrame:
+    """The rule for repeats, the same in a first run, a full refresh and an increment.
+
+    Of the rows with one key the one greatest in ``latest`` stays; ties go by the other columns, so
+    the order of arrival does not matter. A NULL key identifies nothing: different rows without a
+    key all stay, equal ones are one row delivered again.
+    """
+    others = [c for c in df.columns if not c.startswith("_incoming")]
+    ties = [F.struct(*[F.col(c) for c in others])]
+    content = F.when(F.col(key).isNull(), F.xxhash64(*others))
+    keyed = df.withColumn("_content", content)
+    return dedup_latest(keyed, [key, "_content"], [*latest, *ties]).drop("_content")
 
 
 # --- storage ----------------------------------------------------------------------------
@@ -98,8 +106,10 @@ def read_target(spark: SparkSession, path: str) -> DataFrame | None:
         return None
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as error:
+        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # a folder without a data file
+            return None
+        raise
 
 
 def _folders_of(df: DataFrame, partition: str) -> set[str]:
@@ -121,6 +131,9 @@ def _finish(spark: SparkSession, path: str) -> None:
     """Put a complete staging in place, partition by partition. May be repeated after a crash:
     a partition is gone from the staging once it is in place."""
     target, staging = Folder(spark, path), Folder(spark, f"{path}_staging")
+    if (staging / "whole").exists():
+        target.delete()
+        (staging / "whole").move_to(target)
     for name in (staging / "rows").subfolders():
         (target / name).delete()
         (staging / "rows" / name).move_to(target / name)
@@ -142,15 +155,27 @@ def recover(spark: SparkSession, path: str) -> bool:
     return False
 
 
+def replace_all(df: DataFrame, path: str, partition: str) -> None:
+    """Write the whole table beside the old one, then put it in its place."""
+    spark = df.sparkSession
+    recover(spark, path)
+    staging = Folder(spark, f"{path}_staging")
+    write_partitioned(df, f"{staging.path}/whole", partition)
+    (staging / "complete").make()
+    _finish(spark, path)
+
+
 def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str, partition: str,
            latest: list[str], partition_fixed: bool = False,
            target: DataFrame | None = None) -> None:
-    """Replace target rows by key with the batch's rows, rewriting only touched partitions.
+    """Merge the batch into the stored table by key, rewriting only touched partitions.
 
-    ``partition`` is the table's partition column (a date). Of several batch rows with one key
-    the one greatest in ``latest`` wins. A key may have moved to another partition since it was
-    stored; its old partition is found by reading the target's key column. Where a key's
-    partition cannot change, ``partition_fixed=True`` saves that read.
+    ``partition`` is the table's partition column (a date). Stored rows and the batch's are ranked
+    together by :func:`one_per_key`: an older version that is delivered late does not replace a
+    newer one, and batches give the same table in any order. A key may have moved to another
+    partition since it was stored; its old partition is found by reading the target's key column.
+    Where a key's partition cannot change, ``partition_fixed=True`` saves that read. A batch whose
+    columns are not the table's is refused: rebuild the table with a full refresh.
 
     New content of the touched partitions is first written beside the table. Only a complete
     staging replaces partitions, and replacing can be repeated (see :func:`recover`). One writer
@@ -159,10 +184,12 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str, partition
     if target is None:
         recover(spark, path)
         target = read_target(spark, path)
-    rows = dedup_latest(batch, [key], latest)
+    rows = one_per_key(batch, key, latest)
     if target is None:
-        write_partitioned(rows, path, partition)
+        replace_all(rows, path, partition)
         return
+    if set(rows.columns) != set(target.columns):
+        raise ValueError(f"columns of the batch and of {path} differ: {sorted(set(rows.columns) ^ set(target.columns))}")
     staging = Folder(spark, f"{path}_staging")
     # The batch is used several times below: written once, it is not computed again.
     rows.write.mode("overwrite").parquet(f"{staging.path}/batch")
@@ -177,26 +204,39 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str, partition
                  .join(rows.select(key), key, "left_semi"))
         touched |= _folders_of(moved, partition)
     old = target.where(_in_folders(partition, touched))
-    write_partitioned(merged(old, rows, key), f"{staging.path}/rows", partition)
+    write_partitioned(_merged_latest(old, rows, key, latest), f"{staging.path}/rows", partition)
     for name in touched - set((staging / "rows").subfolders()):
         (staging / "emptied" / name).make()
     (staging / "complete").make()
     _finish(spark, path)
 
 
+def _merged_latest(old: DataFrame, rows: DataFrame, key: str, latest: list[str]) -> DataFrame:
+    """Old rows whose key the batch lacks, untouched, and the winner of every key it has.
+
+    Only old rows with a key of the batch are ranked with it; the rest, nearly all, is one anti
+    join away and never sorted.
+    """
+    keys = rows.select(key).distinct()
+    met = old.join(keys.where(F.col(key).isNotNull()), key, "left_semi").unionByName(
+        old.where(F.col(key).isNull()))
+    kept = old.where(F.col(key).isNotNull()).join(keys, key, "left_anti").select(*old.columns)
+    return kept.unionByName(one_per_key(met.select(*old.columns).unionByName(rows), key, latest))
+
+
 def incremental(spark: SparkSession, path: str, source: DataFrame, build, key: str, ts: str,
                 partition: str, lateness: str | None = None, full_refresh: bool = False,
                 partition_fixed: bool = False) -> None:
     """Bring a stored fact up to date.
 
     ``build`` turns source rows into fact rows. First run or ``full_refresh``: everything is
-    built and written. Later runs: only source rows beyond the high-water mark are built, then
-    upserted by key.
+    built, reduced to one row per key and put in place whole. Later runs: only source rows beyond
+    the high-water mark are built, then upserted by key, under the same rule for repeats.
     """
     recover(spark, path)
     target = None if full_refresh else read_target(spark, path)
     if target is None:
-        write_partitioned(build(source), path, partition)
+        replace_all(one_per_key(build(source), key, [ts]), path, partition)
         return
     mark = high_water_mark(target, ts)
     delta = build(high_water_filter(source, ts, mark, lateness))

@@ -7,12 +7,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tidemark.contracts import OPEN_END
 from tidemark.functions import instant_micros, is_open, ntz, surrogate_key
 from tidemark.operators.hotkeys import HOT_ROWS, SLICE, hot_keys, with_next, with_slice
-from tidemark.operators.lookup import measured_bytes
 from tidemark.operators.ranges import starts_inside
 
-BROADCAST_BYTES = 64 << 20
-BROADCAST_VERSIONS = 64
-
 
 def scd2(versions: DataFrame, key: str, ts: str, surrogate: str = "customer_key",
          natural: str = "customer_natural_key", hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -47,46 +43,51 @@ def scd2_as_of(dim: DataFrame, instant: str) -> DataFrame:
 
 
 def scd2_asof_join(fact: DataFrame, dim: DataFrame, key: str, ts: str, take: list[str],
-                   dim_key: str = "customer_natural_key", strategy: str = "auto",
+                   dim_key: str = "customer_natural_key", strategy: str = "merge",
                    hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add to every fact row the attributes ``take`` of the version in force at its instant.
 
-    ``broadcast``: a hash join with the interval as extra condition; the fact is not shuffled.
-    ``merge``: facts and versions are sorted together per key and the last version seen is
-    carried forward: linear however many versions a key has, hot keys are cut by day.
-    ``auto`` measures the dimension and broadcasts it only if it is small and no key has more
-    than a few dozen versions to try.
+    In force is, of the versions whose interval covers the instant, the one that starts last; of
+    several the one that ends last, then the greatest attributes. So a fact row stays one row, on a
+    damaged history too, and both strategies give the same rows at any size.
+
+    ``merge``: facts and versions are sorted together per key and the last version seen is carried
+    forward: linear however many versions a key has, hot keys are cut along time. ``search``: an
+    equi-join on the key with the interval as condition, which Catalyst may broadcast; for histories
+    with few versions per key.
     """
     history = dim.select(F.col(dim_key).alias("_k"), "valid_from",
-                         F.coalesce("valid_to", ntz(OPEN_END)).alias("valid_to"), *take)
-    if strategy == "auto":
-        strategy = "broadcast" if _is_small(history) else "merge"
-    if strategy == "broadcast":
-        inside = ((F.col(ts) >= F.col("valid_from")) & (F.col(ts) < F.col("valid_to")))
-        return (fact.join(F.broadcast(history), (F.col(key) == F.col("_k")) & inside, "left")
-                .drop("_k", "valid_from", "valid_to"))
-    return _merge_asof(fact, history, key, ts, take, hot_rows)
+                         F.coalesce("valid_to", ntz(OPEN_END)).alias("valid_to"), *take).where(F.col("_k").isNotNull())
+    instants = (fact.select(F.col(key).alias("_k"), F.col(ts).alias("_t"))
+                .where(F.col("_k").isNotNull() & F.col("_t").isNotNull()).distinct())
+    if strategy == "search":
+        states = _covering(instants, history, take)
+    elif strategy == "merge":
+        states = _merge_asof(instants, history, take, hot_rows)
+    else:
+        raise ValueError(f"strategy must be merge or search, not {strategy!r}")
+    same = (F.col(key) == F.col("_k")) & (F.col(ts) == F.col("_t"))
+    return fact.join(states, same, "left").drop("_k", "_t")
 
 
-def _is_small(history: DataFrame) -> bool:
-    if measured_bytes(history) > BROADCAST_BYTES:
-        return False
-    most = history.groupBy("_k").count().agg(F.max("count").alias("m")).first()["m"]
-    return (most or 0) <= BROADCAST_VERSIONS
+def _covering(instants: DataFrame, history: DataFrame, take: list[str]) -> DataFrame:
+    """The version in force for each (key, instant), by comparing it with all versions of its key."""
+    versions = history.withColumnRenamed("_k", "_vk")
+    inside = (F.col("_t") >= F.col("valid_from")) & (F.col("_t") < F.col("valid_to"))
+    best = F.max(F.struct("valid_from", "valid_to", F.struct(*take).alias("take"))).alias("_best")
+    return (instants.join(versions, (F.col("_k") == F.col("_vk")) & inside).groupBy("_k", "_t").agg(best)
+            .select("_k", "_t", *[F.col(f"_best.take.{c}").alias(c) for c in take]))
 
 
-def _merge_asof(fact: DataFrame, history: DataFrame, key: str, ts: str, take: list[str],
-                hot_rows: int) -> DataFrame:
-    """Find the version for every distinct (key, instant) of the fact, then join it to the fact.
+def _merge_asof(instants: DataFrame, history: DataFrame, take: list[str], hot_rows: int) -> DataFrame:
+    """The version in force for each (key, instant), by one pass over both in order of time.
 
-    Only keys and instants are sorted against the history; the fact itself is shuffled once, on
-    (key, instant), where neither a hot key nor NULL keys gather.
+    The version that started last is the answer where it covers the instant. Where it has ended
+    already, an earlier one may still be in force, but only in a key of which some version starts
+    before an earlier one ends; those few instants and keys are searched.
     """
     version = F.struct("valid_to", *take)
-    instants = (fact.select(F.col(key).alias("_k"), F.col(ts).alias("_t"))
-                .where(F.col("_k").isNotNull() & F.col("_t").isNotNull()).distinct())
-    starts = history.where(F.col("_k").isNotNull()).select(
-        "_k", F.col("valid_from").alias("_t"), version.alias("_version"))
+    starts = history.select("_k", F.col("valid_from").alias("_t"), version.alias("_version"))
     events = (starts.withColumn("_kind", F.lit(1))
               .unionByName(instants.withColumn("_kind", F.lit(2)), allowMissingColumns=True))
 
@@ -95,19 +96,28 @@ def _merge_asof(fact: DataFrame, history: DataFrame, key: str, ts: str, take: li
     if hot is not None:
         groups = ["_k", SLICE]
         events = with_slice(events, "_k", "_t", hot).unionByName(_carried_in(events, hot))
-    upto = (Window.partitionBy(*groups).orderBy("_t", "_kind", F.col("_version.valid_to"))
+    upto = (Window.partitionBy(*groups).orderBy("_t", "_kind", F.col("_version"))
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    states = (events.withColumn("_state", F.last("_version", ignorenulls=True).over(upto))
-              .where((F.col("_kind") == 2) & (F.col("_t") < F.col("_state.valid_to")))
-              .select("_k", "_t", *[F.col(f"_state.{c}").alias(c) for c in take]))
-    same = (F.col(key) == F.col("_k")) & (F.col(ts) == F.col("_t"))
-    return fact.join(states, same, "left").drop("_k", "_t")
+    seen = (events.withColumn("_state", F.last("_version", ignorenulls=True).over(upto))
+            .where((F.col("_kind") == 2) & F.col("_state").isNotNull()))
+    covered = F.col("_t") < F.col("_state.valid_to")
+    found = seen.where(covered).select("_k", "_t", *[F.col(f"_state.{c}").alias(c) for c in take])
+    ended = seen.where(~covered).select("_k", "_t")
+    damaged = history.join(_overlapping_keys(history, hot_rows), "_k", "left_semi").select("_k", "valid_from", "valid_to", *take)
+    return found.unionByName(_covering(ended, damaged, take))
+
+
+def _overlapping_keys(history: DataFrame, hot_rows: int) -> DataFrame:
+    """Keys in which a version starts before its predecessor in time has ended."""
+    rows = history.select("_k", "valid_from", "valid_to").where("valid_from < valid_to").distinct()
+    chained = with_next(rows, "_k", "valid_from", "_next", ["valid_to"], hot_rows)
+    return chained.where(F.col("_next") < F.col("valid_to")).select("_k").distinct()
 
 
 def _carried_in(events: DataFrame, hot: DataFrame) -> DataFrame:
     """The version a hot key is in at the start of each slice: the last one of earlier slices."""
     started = F.when(F.col("_kind") == 1,
-                     F.struct("_t", F.col("_version.valid_to").alias("to"), "_version"))
+                     F.struct("_t", "_version"))
     slices = (with_slice(events, "_k", "_t", hot, "inner")
               .groupBy("_k", SLICE).agg(F.max(started).alias("_last")))
     earlier = Window.partitionBy("_k").orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
