@@ -190,15 +190,35 @@ def scd2_asof_join_merge(s):
     return _segment_at(s, "merge", hot_rows=10)
 
 
-@query
-def scd2_overlaps(s):
+def _damaged(s):
     """History in which every customer of one segment has a second row that starts too early."""
     dim = s.dim_customer
     early = (dim.where(F.col("segment") == "CORPORATE")
              .withColumn("customer_key", F.md5(F.concat("customer_key", F.lit("x"))))
              .withColumn("valid_from", F.col("valid_from") - F.expr("INTERVAL 30 DAYS"))
              .withColumn("valid_to", F.col("valid_from") + F.expr("INTERVAL 400 DAYS")))
-    return scd2.scd2_overlaps(dim.unionByName(early))
+    return dim.unionByName(early)
+
+
+@query
+def scd2_overlaps(s):
+    return scd2.scd2_overlaps(_damaged(s))
+
+
+def _damaged_at(s, strategy, hot_rows=scd2.HOT_ROWS):
+    facts_ = s.transactions.select("transaction_id", "customer_id", "created_at")
+    return scd2.scd2_asof_join(facts_, _damaged(s), "customer_id", "created_at",
+                               ["customer_key", "segment"], strategy=strategy, hot_rows=hot_rows)
+
+
+@query
+def scd2_asof_damaged_search(s):
+    return _damaged_at(s, "search")
+
+
+@query
+def scd2_asof_damaged_merge(s):
+    return _damaged_at(s, "merge", hot_rows=10)
 
 
 @query
@@ -581,6 +601,43 @@ def upsert_corrections(s):
     return s.spark.read.parquet(path)
 
 
+@query
+def full_refresh(s):
+    """A stored history is replaced whole, after an increment has been added to it."""
+    path = scratch_dir(s.spark, "full_refresh")
+    _stored_fact(s, path, s.transactions.where(F.col("created_at") < F.lit(CUT).cast("timestamp_ntz")))
+    _stored_fact(s, path, s.transactions)
+    return _stored_fact(s, path, s.transactions, full_refresh=True).drop("transaction_month")
+
+
+@query
+def upsert_out_of_order(s):
+    """Each correction comes in a batch before the row it corrects: the older delivery must not win."""
+    path = scratch_dir(s.spark, "out_of_order")
+    columns = ["transaction_id", "amount", "transaction_type", "transaction_date", "created_at"]
+    base = s.transactions.select(*columns)
+    later = (base.where(F.col("transaction_type") == "CASH_OUT")
+             .withColumn("amount", (F.col("amount") + 1).cast(MONEY))
+             .withColumn("transaction_date", F.date_add("transaction_date", 45))
+             .withColumn("created_at", F.col("created_at") + F.expr("INTERVAL 45 DAYS")))
+    for batch in (later, base, later.unionByName(base)):
+        incremental.upsert(s.spark, path, incremental.by_month(batch, "transaction_date"),
+                           "transaction_id", "transaction_month", ["created_at"])
+    return s.spark.read.parquet(path)
+
+
+@query
+def upsert_null_and_repeated_keys(s):
+    """Debits lose their key: all of them stay, and a batch delivered again adds nothing."""
+    path = scratch_dir(s.spark, "null_keys")
+    lost = F.when(F.col("transaction_type") != "DEBIT", F.col("transaction_id"))
+    base = incremental.by_month(s.transactions.select(
+        lost.alias("transaction_id"), "account_id", "transaction_date", "created_at"), "transaction_date")
+    for batch in (base, base.unionByName(base)):
+        incremental.upsert(s.spark, path, batch, "transaction_id", "transaction_month", ["created_at"])
+    return s.spark.read.parquet(path)
+
+
 # --- sources and sinks ------------------------------------------------------------------
 
 def _customer_file(s):
@@ -605,6 +662,24 @@ def load_bronze(s):
                       "_batch_id"), ["customer_id", "updated_at"])
 
 
+@query
+def load_bronze_many_files(s):
+    """One feed in three kinds of files: columns in another order, compressed, and with line breaks in quotes."""
+    folder, root = scratch_dir(s.spark, "many"), scratch_dir(s.spark, "load")
+    feed = s.raw("cust_v").withColumn("address", F.concat(F.lit("1st\nline, "), "address"))
+    names = CUSTOMERS.fieldNames()
+    for i, (segment, order, compression) in enumerate(
+            [("RETAIL", names, "none"), ("PREMIUM", names[::-1], "gzip"), ("CORPORATE", names[2:] + names[:2], "none")]):
+        (feed.where(clean_code("segment") == segment).select(*[F.col(c).cast("string").alias(c) for c in order])
+         .write.option("header", True).option("escape", '"').option("compression", compression)
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(f"{folder}/{i}"))
+    landing.load_bronze(s.spark, f"{folder}/*", "customers", root, batch_id="20240101_060000",
+                        loaded_at="2024-01-01T06:00:00", multi_line=True)
+    bronze = landing.read_layer(s.spark, root, "bronze", "customers")
+    return bronze.select("customer_id", "address", F.trim("segment").alias("segment"), "updated_at",
+                         F.col("_source_file").endswith(".csv.gz").alias("compressed"), "_batch_id")
+
+
 @query
 def read_dirty_csv(s):
     """Rows of one segment lack their last two fields: they are padded, kept and flagged."""

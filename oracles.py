@@ -270,6 +270,17 @@ select a.k as customer_natural_key, cast(a.f as varchar) as a_valid_from,
   cast(b.t as varchar) as b_valid_to, count(*) as pairs
 from damaged a join damaged b on a.k = b.k and a.r <> b.r and a.f < b.t and a.t > b.f
 group by all""")
+CTES["damaged_keyed"] = """
+select customer_natural_key as k, customer_key, segment, valid_from as f, valid_to as t from dim_c
+union all
+select customer_natural_key, md5(customer_key || 'x'), segment, valid_from - interval 30 day,
+  valid_from + interval 370 day from dim_c where segment = 'CORPORATE'"""
+ORACLES["scd2_asof_damaged_search"] = _sql("""
+select x.transaction_id, x.customer_id, cast(x.created_at as varchar) as created_at, c.customer_key, c.segment
+from stg_t x left join damaged_keyed c on c.k = x.customer_id and c.f <= x.created_at and x.created_at < c.t
+qualify row_number() over (partition by x.transaction_id
+  order by c.f desc, c.t desc, c.customer_key desc, c.segment desc) = 1""")
+ORACLES["scd2_asof_damaged_merge"] = ORACLES["scd2_asof_damaged_search"]
 ORACLES["multi_version_customers"] = _sql("""
 select customer_id, count(*) as versions from stg_c group by customer_id having count(*) > 1""")
 ORACLES["customer_latest"] = """
@@ -581,7 +592,20 @@ select transaction_id, cast(amount + fix as double) as amount, transaction_type,
     as transaction_month
 from (select *, cast(transaction_type = 'CASH_OUT' as int) as fix from stg_t)""")
 
+ORACLES["full_refresh"] = ORACLES["fact_transactions"]
+ORACLES["upsert_out_of_order"] = ORACLES["upsert_corrections"]
+ORACLES["upsert_null_and_repeated_keys"] = _sql("""
+select distinct case when transaction_type <> 'DEBIT' then transaction_id end as transaction_id, account_id,
+  cast(transaction_date as varchar) as transaction_date, cast(created_at as varchar) as created_at,
+  cast(cast(date_trunc('month', transaction_date) as date) as varchar) as transaction_month
+from stg_t""")
+
 # --- sources and sinks ------------------------------------------------------------------
+ORACLES["load_bronze_many_files"] = _sql("""
+select customer_id, '1st' || chr(10) || 'line, ' || address as address, trim(segment) as segment,
+  cast(updated_at as varchar) as updated_at, upper(trim(segment)) = 'PREMIUM' as compressed,
+  '20240101_060000' as _batch_id
+from cust_v""")
 ORACLES["load_bronze"] = _sql("""
 select * replace (address || ', Main "St" 1' as address, cast(created_at as varchar) as created_at,
     cast(updated_at as varchar) as updated_at),

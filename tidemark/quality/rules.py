@@ -199,14 +199,22 @@ JSON_KINDS = {
 }
 JSON_ARGS = {"value_set": "values", "min_value": "min", "max_value": "max", "regex": "pattern",
              "column_set": "columns"}
+# Say nothing about which rows pass.
+JSON_PLAIN = ("column", "mostly", "result_format", "include_config", "catch_exceptions", "meta")
 
 
 def suite_from_json(text: str) -> tuple[str, list[Rule]]:
-    """Name and rules of a suite kept as JSON."""
+    """Name and rules of a suite kept as JSON. An argument that would change a rule's meaning and isn't
+    known here is an error, not ignored; bounds are inclusive and a column set is a subset."""
     document = json.loads(text)
     rules = []
     for entry in document["expectations"]:
         given = entry.get("kwargs", {})
+        if entry["expectation_type"] not in JSON_KINDS:
+            raise ValueError(f"unknown rule {entry['expectation_type']}")
+        odd = sorted(k for k, v in given.items() if k not in JSON_ARGS and k not in JSON_PLAIN and v not in (None, False))
+        if odd:
+            raise ValueError(f"{entry['expectation_type']} does not know {odd}")
         args = {JSON_ARGS[k]: v for k, v in given.items() if k in JSON_ARGS and v is not None}
         rules.append(Rule(JSON_KINDS[entry["expectation_type"]], given.get("column"), args,
                           float(given.get("mostly", 1.0))))
