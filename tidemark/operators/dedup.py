@@ -27,16 +27,19 @@ def exact_sample(df: DataFrame, n: int, key: str, seed: int = 42, sorted_rows: i
     """
     name = F.coalesce(F.col(key).cast("string"), F.concat(F.lit("null:"), F.xxhash64(*df.columns).cast("string")))
     hashed = df.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}:"), name)))
-    prefix, before, size = "", 0, None
+    prefix, before = "", 0
     for digits in range(3, 33, 3):
         group = F.substring("_h", 1, digits)
-        counts = (hashed.where(F.col("_h").startswith(prefix)).groupBy(group.alias("g")).agg(F.count(F.lit(1)).alias("n")))
-        running = F.sum("n").over(Window.orderBy("g"))  # at most 4,096 counters
-        edge = (counts.withColumn("upto", running).where(F.col("upto") >= n - before)
-                .orderBy("upto").select("g", "n", (F.col("upto") - F.col("n")).alias("below")).first())
+        counts = hashed.where(F.col("_h").startswith(prefix)).groupBy(group.alias("g")).agg(F.count(F.lit(1)).alias("n"))
+        edge = None
+        for row in sorted(counts.collect()):  # at most 4,096 counters
+            if before + row["n"] >= n:
+                edge = row
+                break
+            before += row["n"]
         if edge is None:
             return df
-        prefix, size, before = edge["g"], edge["n"], before + edge["below"]
+        prefix, size = edge["g"], edge["n"]
         if size <= sorted_rows:
             break
     whole = hashed.where(F.substring("_h", 1, len(prefix)) < prefix)
