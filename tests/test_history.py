@@ -99,6 +99,25 @@ def test_asof_join_agrees_with_search(spark, strategy, hot_rows):
         (i, expected(k, m)) for i, k, m in facts)
 
 
+@pytest.mark.parametrize("strategy,hot_rows", [("search", 10**6), ("merge", 10**6), ("merge", 4)])
+def test_asof_join_on_damaged_history(spark, strategy, hot_rows):
+    """Overlaps, nested and equal intervals, and gaps: the covering version that starts last."""
+    rng = random.Random(8)
+    history = [("k", f"s{i}", a, a + rng.choice([1, 5, 30, 400])) for i, a in enumerate(rng.choices(range(200), k=25))]
+    history += [("k", "x", 7, 20), ("k", "y", 7, 20), ("z", "only", 3, 4)]
+    dim = spark.createDataFrame([(k, s, at(a), at(b)) for k, s, a, b in history],
+                                "customer_natural_key string, segment string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    facts = [(i, k, m) for i, (k, m) in enumerate((k, m) for k in "kz" for m in range(0, 230, 3))]
+    df = spark.createDataFrame([(i, k, at(m)) for i, k, m in facts], "id int, customer_id string, ts timestamp_ntz")
+    got = scd2.scd2_asof_join(df, dim, "customer_id", "ts", ["segment"], strategy=strategy, hot_rows=hot_rows)
+
+    def expected(key, minute):
+        found = [(a, b, s) for k, s, a, b in history if k == key and a <= minute < b]
+        return max(found)[2] if found else None
+
+    assert sorted((r.id, r.segment) for r in got.collect()) == [(i, expected(k, m)) for i, k, m in facts]
+
+
 def brute_overlaps(intervals):
     out = {}
     for i, a in enumerate(intervals):
@@ -174,6 +193,13 @@ def test_a_hot_key_within_one_instant(spark, hot_rows):
                      ("b", "q", at(1)): 1, ("b", "q", None): 1}
 
 
+def test_sample_keeps_rows_without_a_key(spark):
+    df = spark.createDataFrame([(None, i) for i in range(400)] + [(str(i), i) for i in range(100)], "k string, v int")
+    assert [exact_sample(df, n, "k", sorted_rows=50).count() for n in (0, 200, 400, 900)] == [0, 200, 400, 500]
+    few = exact_sample(df, 200, "k", sorted_rows=3).collect()
+    assert sorted(few, key=str) == sorted(exact_sample(df.repartition(5), 200, "k").collect(), key=str)
+
+
 @pytest.mark.parametrize("n", [0, 1, 37, 500, 1000, 5000])
 def test_sample_is_exact_and_repeatable(spark, n):
     df = spark.range(1000).selectExpr("cast(id as string) as id", "id % 3 as v")

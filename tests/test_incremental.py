@@ -213,6 +213,52 @@ def test_pipeline_stops_at_the_gate(spark, tmp_path):
     assert not (tmp_path / "lake" / "gold").exists()
 
 
+def test_a_refused_batch_leaves_nothing_behind(spark, tmp_path):
+    root = str(tmp_path / "lake")
+    bad = write_feeds(spark, tmp_path / "bad", lambda t, df: df.withColumn(
+        "transaction_type", F.lit("BARTER")) if t == "transactions" else df)
+    with pytest.raises(QualityGateError):
+        pipeline.run_pipeline(spark, root, bad, "2024-01-01", "b1", suites=wide_suites())
+    good = write_feeds(spark, tmp_path / "good", lambda t, df: df)
+    for _ in range(2):  # the second run brings the same batch again
+        tables = pipeline.run_pipeline(spark, root, good, "2024-01-01", "b2", suites=wide_suites())
+    assert {r[0] for r in tables["transactions"].select("_batch_id").distinct().collect()} == {"b2"}
+    assert tables["transactions"].count() == adapter(spark, SF, "txn").count()
+    results = spark.read.parquet(f"{root}/quality/results")
+    assert results.select("run_time").distinct().count() == 3
+    board = suites.latest_status(results, ["bronze_transactions"]).first()
+    assert board.overall_status == "PASS"
+
+
+def keyed(spark, *data):
+    return spark.createDataFrame(list(data), "id string, day string, ts int, v int")
+
+
+def test_older_deliveries_repeats_and_missing_keys(spark, tmp_path, rows):
+    """Batches in any order, and all at once, give one table."""
+    data = [("a", "d1", 1, 1), ("a", "d2", 5, 2), ("a", "d1", 3, 3), (None, "d1", 1, 4), (None, "d1", 1, 4),
+            (None, "d1", 1, 5), ("b", "d1", None, 6), ("b", "d1", 2, 7), ("c", "d1", 2, 8), ("c", "d1", 2, 9)]
+    want = [(None, "d1", 1, 4), (None, "d1", 1, 5), ("a", "d2", 5, 2), ("b", "d1", 2, 7), ("c", "d1", 2, 9)]
+    for k, order in enumerate((data, data[::-1], data[5:] + data[:5])):
+        path = str(tmp_path / f"t{k}")
+        for first in range(0, len(order), 3):
+            inc.upsert(spark, path, keyed(spark, *order[first:first + 3]), "id", "day", ["ts"])
+        inc.upsert(spark, path, keyed(spark, *order[:4]), "id", "day", ["ts"])  # a retry
+        assert rows(spark.read.parquet(path).select("id", "day", "ts", "v")) == want
+    whole = str(tmp_path / "whole")
+    for refresh in (False, True):
+        inc.incremental(spark, whole, keyed(spark, *data), lambda d: d, "id", "ts", "day", full_refresh=refresh)
+        assert rows(spark.read.parquet(whole).select("id", "day", "ts", "v")) == want
+
+
+def test_columns_a_table_lacks_are_refused(spark, tmp_path):
+    path = str(tmp_path / "t")
+    inc.upsert(spark, path, keyed(spark, ("a", "d1", 1, 1)), "id", "day", ["ts"])
+    more = keyed(spark, ("b", "d1", 1, 1)).withColumn("added", F.lit(1))
+    with pytest.raises(ValueError, match="added"):
+        inc.upsert(spark, path, more, "id", "day", ["ts"])
+
+
 def test_pipeline_stops_on_drift(spark, tmp_path):
     feeds = write_feeds(spark, tmp_path / "f",
                         lambda t, df: df.drop("amount") if t == "transactions" else df)

@@ -5,17 +5,18 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators import dimensions, facts, silver
-from tidemark.operators.incremental import by_month, incremental
+from tidemark.operators.incremental import Folder, by_month, incremental
 from tidemark.operators.scd2 import scd2_overlaps
 from tidemark.quality.rules import Rule
 from tidemark.quality.suites import (QualityGateError, bronze_customers, bronze_transactions,
                                      checkpoint, mislabelled_alerts, negative_amounts,
                                      silver_transactions, table_tests)
-from tidemark.sources.landing import load_bronze, new_batch_id, read_layer, save_table
+from tidemark.sources.landing import load_bronze, new_batch_id, read_layer, save_table, write_bronze
 
 log = logging.getLogger(__name__)
 
@@ -65,26 +66,39 @@ def build_models(tables: dict[str, DataFrame], as_of: str,
 def run_pipeline(spark: SparkSession, root: str, feeds: dict[str, str], as_of: str,
                  batch_id: str | None = None, mode: str = "append",
                  suites: dict[str, list[Rule]] | None = None,
-                 full_refresh: bool = False, register: bool = False) -> dict[str, DataFrame]:
+                 full_refresh: bool = False, register: bool = False,
+                 run_time: str | None = None) -> dict[str, DataFrame]:
     """Run every layer below ``root``; returns all tables.
 
-    ``feeds`` maps raw table names to CSV paths. A failed gate or test raises and nothing after
-    it runs. The fact is brought up to date incrementally unless ``full_refresh``.
+    ``feeds`` maps raw table names to CSV paths. A batch is landed beside bronze, passes the gate
+    there, and only then becomes part of bronze; a refused batch leaves no row behind, and a batch id
+    that comes again replaces what it brought. A failed gate or test raises and nothing after it
+    runs. Results carry the time the run really started (or ``run_time``), so that two runs of one
+    day are told apart. The fact is brought up to date incrementally unless ``full_refresh``.
     ``register`` also creates a temporary view per table for SQL users.
     """
     batch_id = batch_id or new_batch_id()
-    run_time = as_of + " 00:00:00"
+    run_time = run_time or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
     suites = suites or {"bronze_transactions": bronze_transactions(),
                         "bronze_customers": bronze_customers(),
                         "silver_transactions": silver_transactions()}
+    waiting = f"{root}/landing/{batch_id}"
+    landed = {}
     for table in RAW_TABLES:
         if table in feeds:
-            load_bronze(spark, feeds[table], table, root, mode, batch_id)
-    tables = {t: read_layer(spark, root, "bronze", t) for t in RAW_TABLES}
+            load_bronze(spark, feeds[table], table, waiting, "replace", batch_id)
+            landed[table] = read_layer(spark, waiting, "bronze", table)
     results = f"{root}/quality/results"
-    checkpoint({"bronze_transactions": (tables["transactions"], suites["bronze_transactions"]),
-                "bronze_customers": (tables["customers"], suites["bronze_customers"])},
-               run_time, "bronze", results)
+    gated = {f"bronze_{t}": (landed[t], suites[f"bronze_{t}"]) for t in ("transactions", "customers") if t in landed}
+    if gated:
+        checkpoint(gated, run_time, "bronze", results)
+    if "transactions" in landed:  # what silver would refuse must not reach bronze either
+        cleaned = silver.stg_transactions(landed["transactions"])
+        checkpoint({"landed_silver_transactions": (cleaned, suites["silver_transactions"])}, run_time, results_path=results)
+    for table, rows in landed.items():
+        write_bronze(rows, f"{root}/bronze/{table}", mode)
+    Folder(spark, waiting).delete()
+    tables = {t: read_layer(spark, root, "bronze", t) for t in RAW_TABLES}
 
     for name, model in MODELS.items():
         inputs = [tables[n] for n in model.needs]
