@@ -389,7 +389,7 @@ def entity_bucket(s):
     """Senders mapped onto the customer master, the master numbered in groups."""
     senders = s.raw("money").groupBy("nameOrig").agg(F.count(F.lit(1)).alias("rows"))
     users = s.raw("users")
-    numbered = channels.number_pool(users, "id", one_task_rows=0)
+    numbered = channels.number_pool(users, "id", one_task_rows=50)
     bucketed = channels.entity_bucket(senders, "nameOrig", users, "id", "client_id")
     return bucketed.join(numbered.withColumnRenamed("id", "client_id"), "client_id")
 

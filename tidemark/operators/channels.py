@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from tidemark.session import scratch_dir
 from tidemark.contracts import STEP_ZERO
 from tidemark.functions import (MONEY, content_hash, deposit_category, entry_mode, is_high_risk,
                                 parse_money, sign_type, stable_bucket, step_instant, typed_null)
 from tidemark.operators.hotkeys import COPY_CHUNK, number_copies
 from tidemark.operators.lookup import lookup
 
-ONE_TASK_ROWS = 100_000   # a pool this small is numbered by one task
-NUMBER_GROUPS = 256
+ONE_TASK_ROWS = 100_000   # keys that one task numbers
 
 
 def harmonize_card(transactions: DataFrame, labels: DataFrame, mcc: DataFrame) -> DataFrame:
@@ -63,23 +63,22 @@ def number_pool(pool: DataFrame, key: str, one_task_rows: int = ONE_TASK_ROWS,
                 size: int | None = None) -> DataFrame:
     """(key, rn) with rn = 1..N in key order.
 
-    A pool beyond ``one_task_rows`` is cut at boundaries read off a small sample; every group is
-    numbered by itself and shifted by the number of keys before it.
+    Keys are dealt out by ranges of about ``one_task_rows`` keys, each range is numbered by itself and
+    shifted by the number of keys before it: one way at every size, with as many ranges as the pool
+    needs. The ranges are written once, so that counting and numbering see the same ones.
     """
     keys = pool.select(key)
     size = keys.count() if size is None else size
-    if size <= one_task_rows:
-        return keys.withColumn("rn", F.row_number().over(Window.orderBy(key)).cast("bigint"))
-    sample = (keys.orderBy(F.xxhash64(key)).limit(NUMBER_GROUPS * 16).orderBy(key).collect())
-    bounds = F.array(*[F.lit(r[0]) for r in sample[8::16]])
-    grouped = keys.withColumn("_group", F.size(F.filter(bounds, lambda b: b < F.col(key))))
-    before = Window.orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = (grouped.groupBy("_group").agg(F.count(F.lit(1)).alias("n"))  # NUMBER_GROUPS rows
-              .select("_group", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_shift")))
-    within = Window.partitionBy("_group").orderBy(key)
-    return (grouped.withColumn("_n", F.row_number().over(within))
-            .join(F.broadcast(shifts), "_group")
-            .select(key, (F.col("_n") + F.col("_shift")).cast("bigint").alias("rn")))
+    path = scratch_dir(pool.sparkSession, "pool")
+    (keys.repartitionByRange(max(1, -(-size // max(1, one_task_rows))), key).sortWithinPartitions(key)
+     .withColumn("_id", F.monotonically_increasing_id()).write.parquet(path))
+    ranged = (pool.sparkSession.read.parquet(path)
+              .select(key, F.shiftright("_id", 33).alias("_range"), F.col("_id").bitwiseAND((1 << 33) - 1).alias("_n")))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = (ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("n"))  # a row for each range
+              .select(F.col("_range").alias("_r"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_shift")))
+    return (ranged.join(shifts, F.col("_range") == F.col("_r"))
+            .select(key, (F.col("_n") + F.col("_shift") + 1).cast("bigint").alias("rn")))
 
 
 def entity_bucket(df: DataFrame, name: str, pool: DataFrame, key: str, out: str) -> DataFrame:
