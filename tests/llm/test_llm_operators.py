@@ -13,6 +13,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import regex
 import sentencepiece
 import tiktoken
 from hypothesis import given, settings, strategies as st
@@ -398,6 +399,16 @@ def test_components(spark, edges):
 
 # --- token files ---
 
+@given(st.lists(st.text(alphabet=st.one_of(st.sampled_from("ab'stmdrevl  \n\t\u00a0\u3000é日1²!?\x1c\x85"), st.characters(codec="utf-8")), max_size=30), max_size=5))
+@settings(max_examples=500, deadline=None)
+def test_pre_tokens_as_the_pattern(texts):
+    data, lengths, counts = token_files.pre_tokens(pa.array(texts, pa.string()))
+    raw, ends = data.tobytes(), np.cumsum(lengths).tolist()
+    got = [raw[e - n : e].decode() for e, n in zip(ends, lengths.tolist(), strict=True)]
+    want = [regex.findall(public_tokenizers.PATTERN, t) for t in texts]
+    assert got == [x for w in want for x in w] and counts.tolist() == [len(w) for w in want]
+
+
 @given(st.lists(st.one_of(st.integers(0, 2**32 - 1), st.integers(0, 300)), max_size=40))
 @settings(max_examples=200, deadline=None)
 def test_code_round_trip(values):
@@ -408,7 +419,7 @@ def test_code_round_trip(values):
 
 def test_token_files(spark, docs):
     path = scratch_dir(spark, "test-token-files")
-    token_files.write(docs, path, JSON, public_tokenizers.PATTERN)
+    token_files.write(docs, path, JSON)
     library = Tokenizer.from_file(JSON)
     library.encode_special_tokens = True
     got, at = of(token_files.read(spark, path)), 0
@@ -422,7 +433,7 @@ def test_token_files(spark, docs):
 def test_token_files_of_awkward_tables(spark, empty, odd):
     for table, n in ((empty, 0), (odd, 5)):
         path = scratch_dir(spark, "test-token-files")
-        token_files.write(table, path, JSON, public_tokenizers.PATTERN)
+        token_files.write(table, path, JSON)
         assert token_files.read(spark, path).count() == n
 
 
