@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -445,8 +445,13 @@ def dim_channel(s):
 
 @query
 def fk_orphans(s):
-    accounts = lookup.orphans(s.transactions, s.dim_account, "account_id", "account_natural_key")
-    return accounts.select(F.lit("account").alias("dimension"), "orphan_key", "fact_rows")
+    keys = [("account", s.transactions, s.dim_account, "account_id", "account_natural_key"),
+            ("customer", s.transactions, scd2.scd2_current(s.dim_customer), "customer_id", "customer_natural_key"),
+            ("owner", s.accounts, scd2.scd2_current(s.dim_customer), "customer_id", "customer_natural_key"),
+            ("product", s.accounts, dimensions.dim_product(s.accounts), "product_id", "product_natural_key")]
+    found = [lookup.orphans(rows, dim, key, dim_key).select(F.lit(name).alias("dimension"), "orphan_key", "fact_rows")
+             for name, rows, dim, key, dim_key in keys]
+    return reduce(DataFrame.unionByName, found)
 
 
 # --- quality ----------------------------------------------------------------------------

@@ -449,7 +449,16 @@ left join (select channel, count(*) as transactions from both_h group by channel
   on n.channel = c.channel""")
 ORACLES["fk_orphans"] = _sql("""
 select 'account' as dimension, account_id as orphan_key, count(*) as fact_rows from stg_t
-where account_id not in (select account_natural_key from dim_a) group by account_id""")
+where account_id not in (select account_natural_key from dim_a) group by account_id
+union all
+select 'customer', customer_id, count(*) from stg_t
+where customer_id not in (select customer_natural_key from dim_c) group by customer_id
+union all
+select 'owner', customer_id, count(*) from stg_a
+where customer_id not in (select customer_natural_key from dim_c) group by customer_id
+union all
+select 'product', product_id, count(*) from stg_a
+where product_id not in (select product_natural_key from dim_p) group by product_id""")
 
 
 # --- quality ----------------------------------------------------------------------------
