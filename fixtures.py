@@ -16,7 +16,7 @@ ADAPTERS: dict[str, str] = {}
 
 ADAPTERS["txn"] = """
 select concat('T', cast(o_orderkey as string)) as transaction_id,
-       concat('ACC', cast(o_custkey as string)) as account_id,
+       concat('ACC', cast(case when o_orderkey % 97 = 0 then o_custkey + 90000000 else o_custkey end as string)) as account_id,
        concat('CUST', cast(o_custkey as string)) as customer_id,
        case o_orderpriority when '1-URGENT' then ' cash_out' when '2-HIGH' then 'TRANSFER'
             when '3-MEDIUM' then 'PAYMENT ' when '4-NOT SPECIFIED' then 'CASH_IN' else 'DEBIT' end as transaction_type,
@@ -72,7 +72,7 @@ select concat('ACC', cast(c_custkey as string)) as account_id,
        c_acctbal * 10 as balance, date '1992-01-01' + cast(c_custkey % 2000 as int) as opened_date,
        'active' as status,
        case when c_custkey % 41 = 0 then null else concat('PROD', lpad(cast(c_custkey % 20 + 1 as string), 3, '0')) end as product_id
-from {customer} where c_acctbal > -900
+from {customer}
 """
 
 ADAPTERS["acct_brand"] = """
