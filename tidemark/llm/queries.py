@@ -73,7 +73,7 @@ def op8_minhash_near_dedup(spark, sf_dir):
 @query
 def op9_token_files(spark, sf_dir):
     path = scratch_dir(spark, "token-files")
-    token_files.write(documents(spark, sf_dir), path, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    token_files.write(documents(spark, sf_dir), path, public_tokenizers.path("byte_bpe_50k.json"))
     return token_files.read(spark, path)
 
 

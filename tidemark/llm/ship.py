@@ -12,7 +12,10 @@ _SENT: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Adds the package's modules to what each executor's Python can import; once for each Spark application."""
+    """Adds the package's modules to what each executor's Python can import; once for each Spark application.
+
+    The archive is made in a folder of the driver's own; addPyFile() hands it to the executors over Spark's own channel.
+    """
     context = spark.sparkContext
     if context.applicationId in _SENT:
         return

@@ -6,18 +6,19 @@ import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.scratch import discard
-from tidemark.llm.words import chunks
+from tidemark.llm.words import binary, chunks, hash_pieces
 from tidemark.session import scratch_dir
 
-#: Pre-tokens of which a worker remembers the ids.
-CACHED = 600_000
+#: Pre-tokens of which a worker remembers the ids, in some 30 bytes each.
+CACHED = 2_000_000
 # For each control byte: how long each of its four codes is.
 _LENGTHS = np.array([[(c >> 2 * i & 3) + 1 for i in range(4)] for c in range(256)], np.int64)
 
@@ -46,69 +47,153 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
+# Kinds of characters: everything else, letters, numbers, the space, other white space.
+_OTHER, _LETTER, _NUMBER, _SPACE, _WHITE = range(5)
+
+
+@lru_cache(maxsize=1)
+def _kinds() -> np.ndarray:
+    """The kind of each code point, by the properties of the regex library."""
+    table = np.full(0x110000, _OTHER, np.uint8)
+    every = "".join(map(chr, range(0xD800))) + "".join(map(chr, range(0xE000, 0x110000)))
+    for kind, pattern in ((_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+"), (_WHITE, r"\s+")):
+        for found in regex.finditer(pattern, every):
+            first, last = ord(found[0][0]), ord(found[0][-1])
+            if last - first + 1 == len(found[0]):
+                table[first : last + 1] = kind
+            else:  # a stretch across the surrogates
+                table[[ord(c) for c in found[0]]] = kind
+    table[ord(" ")] = _SPACE
+    return table
+
+
+def pre_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(data, lengths, counts): the UTF-8 bytes of all texts, the length in bytes of each pre-token, their number in each text.
+
+    The splits of the byte-level pattern ('s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+),
+    for all texts at once: runs of one kind; the last of several white spaces before a word stands apart, and a space
+    there joins the word; an apostrophe that starts a run takes its ending along.
+    """
+    raw = binary(texts)
+    offsets = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw) + 1]
+    buffer = raw.buffers()[2]
+    data = np.frombuffer(buffer, np.uint8)[offsets[0] : offsets[-1]] if buffer is not None and len(buffer) else np.zeros(0, np.uint8)
+    offsets = offsets - offsets[0]
+    head = (data & 0xC0) != 0x80
+    at = np.flatnonzero(head)  # where each character's bytes start
+    char = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
+    n = len(char)
+    if not n:
+        return data, np.zeros(0, np.int64), np.zeros(len(raw), np.int64)
+    new = np.zeros(n + 1, bool)  # first character of a text, and the end
+    new[np.searchsorted(at, offsets[:-1][np.diff(offsets) > 0])] = True
+    new[n] = True
+    kind = _kinds()[char]
+    run = np.where(kind == _WHITE, np.uint8(_SPACE), kind)
+    start = new[:-1].copy()
+    start[1:] |= run[1:] != run[:-1]
+    last = np.flatnonzero((run[:-1] == _SPACE) & (run[1:] != _SPACE) & ~new[1:-1])
+    start[last] = True
+    start[last[kind[last] == _SPACE] + 1] = False
+    mark = np.flatnonzero((char == ord("'")) & start)
+    mark = mark[mark + 1 < n]
+    mark = mark[~new[mark + 1]]
+    one = char[mark + 1]
+    two = np.where((mark + 2 < n) & ~new[np.minimum(mark + 2, n)], char[np.minimum(mark + 2, n - 1)], 0)
+    short = np.isin(one, [ord(c) for c in "stmd"])
+    long = ((one == ord("r")) & (two == ord("e"))) | ((one == ord("v")) & (two == ord("e"))) | ((one == ord("l")) & (two == ord("l")))
+    for taken, size in ((mark[short], 2), (mark[long], 3)):
+        start[taken + 1] = False
+        after = taken + size
+        after = after[after < n]
+        start[after[(kind[after] == _LETTER)]] = True
+    begin = at[start]
+    return data, np.diff(np.append(begin, len(data))), np.diff(np.searchsorted(begin, offsets))
+
+
 class Encoder:
     """The tokenizers library behind a memory of pre-tokens: each new one is encoded by the library once for each worker.
 
-    Byte-level BPE merges within a pre-token alone, so a text's ids are those of its pre-tokens one after the other.
+    Byte-level BPE merges within a pre-token alone, so a text's ids are those of its pre-tokens one after the other. The
+    memory is arrays: sorted 64-bit hashes of pre-tokens, and where their ids lie; it starts anew at CACHED entries.
     """
 
-    def __init__(self, tokenizer_file: str, pattern: str):
+    def __init__(self, tokenizer_file: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.library = Tokenizer.from_file(tokenizer_file)
-        self.library.encode_special_tokens = True
-        self.split = regex.compile(pattern).findall
-        self.cache: dict[str, tuple[int, ...]] = {}
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        self.model = Tokenizer.from_file(tokenizer_file).model
+        # The model's letters for bytes: printable ones stand for themselves, the others follow from 256 on.
+        plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        rest = [b for b in range(256) if b not in set(plain)]
+        self.letters = {**{b: b for b in plain}, **{b: 256 + i for i, b in enumerate(rest)}}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.keys, self.where, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.int32)
+
+    def _learn(self, keys: np.ndarray, pieces: list[bytes]) -> None:
+        tokens = self.model.tokenize
+        found = [[t.id for t in tokens(p.decode("latin-1").translate(self.letters))] for p in pieces]
+        size = np.array([len(f) for f in found], np.int64)
+        where = len(self.ids) + np.cumsum(size) - size
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.int32, int(size.sum()))])
+        slot = np.searchsorted(self.keys, keys)
+        self.keys, self.where, self.size = np.insert(self.keys, slot, keys), np.insert(self.where, slot, where), np.insert(self.size, slot, size)
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        slot = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
+        return np.where(self.keys[slot] == keys, slot, -1) if len(self.keys) else np.full(len(keys), -1)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and how many each has."""
-        pieces = [self.split(t) for t in texts]
-        new = set().union(*pieces) - self.cache.keys()
-        if new:
-            if len(self.cache) + len(new) > CACHED:
-                self.cache.clear()
-                new = set().union(*pieces)
-            names = list(new)
-            self.cache.update(zip(names, [tuple(e.ids) for e in self.library.encode_batch_fast(names, add_special_tokens=False)], strict=True))
-        known = self.cache.__getitem__
-        flat, counts = [], []
-        for p in pieces:
-            before = len(flat)
-            for ids in map(known, p):
-                flat += ids
-            counts.append(len(flat) - before)
-        return np.array(flat, np.int32), np.array(counts, np.int64)
+        data, lengths, counts = pre_tokens(texts)
+        keys, first, code = np.unique(hash_pieces(data, lengths), return_index=True, return_inverse=True)
+        missing = np.flatnonzero(self._place(keys) < 0)
+        if len(self.keys) + len(missing) > CACHED:
+            self._forget()
+            missing = np.arange(len(keys))
+        ends = np.cumsum(lengths)
+        raw = data.tobytes()
+        at = first[missing]
+        self._learn(keys[missing], [raw[b:e] for b, e in zip((ends[at] - lengths[at]).tolist(), ends[at].tolist(), strict=True)])
+        slot = self._place(keys)[code]
+        size = self.size[slot]
+        stop = np.cumsum(size)
+        flat = self.ids[np.repeat(self.where[slot] - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)]
+        per_text = np.diff(np.concatenate([[0], stop])[np.concatenate([[0], np.cumsum(counts)])])
+        return flat, per_text
 
 
 @lru_cache(maxsize=2)
-def encoder(tokenizer_file: str, pattern: str) -> Encoder:
-    return Encoder(tokenizer_file, pattern)
+def encoder(tokenizer_file: str) -> Encoder:
+    return Encoder(tokenizer_file)
 
 
-def encode_in_order(docs: DataFrame, tokenizer_file: str, pattern: str, end_id: int, path: str) -> None:
-    """Writes blocks of encoded documents (part, seq, doc_ids, counts, ids) to path, in ascending order of doc_id.
+def encode_in_order(docs: DataFrame, tokenizer_file: str, end_id: int, path: str) -> None:
+    """Writes blocks of encoded documents (part, ahead, doc_ids, counts, ids) to path, in ascending order of doc_id.
 
-    Rows are dealt out by ranges of doc_id (nulls first) and sorted in their range; part is the range's number and seq
-    the block's number in it. A null text is an empty one; each document ends with end_id.
+    Rows are dealt out by ranges of doc_id (nulls first) and sorted in their range; part is the range's number and ahead
+    the number of ids before the block in it. A null text is an empty one; each document ends with end_id.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part_of, coder, seq = TaskContext.get().partitionId(), encoder(tokenizer_file, pattern), 0
+        part_of, coder, ahead = TaskContext.get().partitionId(), encoder(tokenizer_file), 0
         for batch in batches:
             for part in chunks(batch, "text"):
-                flat, counts = coder.encode([t or "" for t in part.column("text").to_pylist()])
+                flat, counts = coder.encode(part.column("text"))
                 flat = np.insert(flat, np.cumsum(counts), end_id).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([part_of], pa.int32()), pa.array([seq], pa.int32()), _one(part.column("doc_id")), _one(pa.array(counts + 1)), _one(pa.array(flat))],
-                    ["part", "seq", "doc_ids", "counts", "ids"])
-                seq += 1
+                    pa.array([part_of], pa.int32()), pa.array([ahead], pa.int64()), _one(part.column("doc_id")), _one(pa.array(counts + 1)), _one(pa.array(flat))],
+                    ["part", "ahead", "doc_ids", "counts", "ids"])
+                ahead += len(flat)
 
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (docs.select("doc_id", "text").repartitionByRange(n, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"))
-     .mapInArrow(run, "part int, seq int, doc_ids array<long>, counts array<long>, ids array<int>").write.parquet(path))
+     .mapInArrow(run, "part int, ahead long, doc_ids array<long>, counts array<long>, ids array<int>").write.parquet(path))
 
 
 def _one(values: pa.Array) -> pa.Array:
@@ -132,29 +217,26 @@ def ranking(encoded: DataFrame, n_ids: int) -> np.ndarray:
     return np.argsort(-counts, kind="stable").astype(np.int32)
 
 
-def write(docs: DataFrame, path: str, tokenizer_file: str, pattern: str, end_id: int = 2, n_ids: int = 1 << 16) -> None:
+def write(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = 2, n_ids: int = 1 << 16) -> None:
     """Writes docs as token files below path: `ranks` (the ids by rank) and `blocks`.
 
-    A block is a row (part, seq, first, doc_ids, counts, control, data): ids of whole documents in ascending order of
+    A block is a row (part, first, doc_ids, counts, control, data): ids of whole documents in ascending order of
     doc_id, as ranks in the code of pack(); first is the number of ids before it in all files. Blocks lie in Parquet so
     that Spark's committer writes them: a lost executor leaves no half file, and any store that Spark can reach will do.
     """
     spark = docs.sparkSession
     plain = scratch_dir(spark, "encoded")
-    encode_in_order(docs, tokenizer_file, pattern, end_id, plain)
+    encode_in_order(docs, tokenizer_file, end_id, plain)
     encoded = spark.read.parquet(plain)
     order = ranking(encoded, n_ids)
     rank = np.empty(n_ids, np.int64)
     rank[order] = np.arange(n_ids)
-    sizes = encoded.select("part", "seq", F.aggregate("counts", F.lit(0).cast("long"), lambda n, x: n + x).alias("n"))
+    sizes = encoded.select("part", F.aggregate("counts", F.lit(0).cast("long"), lambda n, x: n + x).alias("n"))
     before, at = {}, 0
     # One number for each range of doc_ids, as many as there are partitions.
     for row in sizes.groupBy("part").agg(F.sum("n").alias("n")).orderBy("part").collect():
         before[row["part"]] = at
         at += row["n"]
-    ahead = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = sizes.select(F.col("part").alias("p"), F.col("seq").alias("s"), F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead"))
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
@@ -162,13 +244,12 @@ def write(docs: DataFrame, path: str, tokenizer_file: str, pattern: str, end_id:
                 part, ids = row.column("part")[0].as_py(), row.column("ids").flatten().to_numpy()
                 control, data = pack(rank[ids])
                 yield pa.RecordBatch.from_arrays([
-                    row.column("part"), row.column("seq"), pa.array([before[part] + row.column("ahead")[0].as_py()], pa.int64()),
+                    row.column("part"), pa.array([before[part] + row.column("ahead")[0].as_py()], pa.int64()),
                     row.column("doc_ids"), row.column("counts"), pa.array([control], pa.binary()), pa.array([data], pa.binary())],
-                    ["part", "seq", "first", "doc_ids", "counts", "control", "data"])
+                    ["part", "first", "doc_ids", "counts", "control", "data"])
 
-    joined = encoded.join(firsts, (F.col("part") == F.col("p")) & (F.col("seq") == F.col("s")))
-    joined.select("part", "seq", "ahead", "doc_ids", "counts", "ids").mapInArrow(
-        run, "part int, seq int, first long, doc_ids array<long>, counts array<long>, control binary, data binary").write.parquet(f"{path}/blocks")
+    encoded.select("part", "ahead", "doc_ids", "counts", "ids").mapInArrow(
+        run, "part int, first long, doc_ids array<long>, counts array<long>, control binary, data binary").write.parquet(f"{path}/blocks")
     spark.createDataFrame([(order.tolist(),)], "ids array<int>").write.parquet(f"{path}/ranks")
     discard(spark, plain)
 
