@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.words import Words, binary, chunks, grams, mix, within
+from tidemark.llm.words import Words, chunks, grams, mix, within
 
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 
@@ -76,23 +76,25 @@ def _beside(lead: np.ndarray, end: np.ndarray, owner: np.ndarray, all_lead: np.n
 def anchors(hashes: np.ndarray, text: np.ndarray, window: int, levels: int = 3) -> np.ndarray:
     """For each window of consecutive words of one text (by its first word, in order) one name that its words alone decide.
 
-    It is a symbol of the highest level that has any with its whole span in the window; of several the smallest hash.
-    So windows with equal words get equal names, wherever they stand. A window without such a symbol, as one inside
-    a long run, is named by its words as a whole.
+    It is a symbol of the highest level that has any with its whole span in the window and no wider than two thirds of
+    it (wider ones fit few windows, so neighbouring windows would share few names), together with the words of that
+    span; of several the smallest hash. So windows with equal words get equal names, wherever they stand. A window
+    without such a symbol, as one inside a long run, is named by its words as a whole.
     """
     n = len(hashes) - window + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
     best = np.full(n, np.iinfo(np.uint64).max, np.uint64)
+    spelled = _spelled(hashes)
     at = np.arange(len(hashes), dtype=np.int64)
     symbols, owner, lead, end = hashes, text, at, at + 1
     for level in range(1, levels + 1):
         symbols, owner, lead, end = recompress(symbols, owner, lead, end, level)
         width = end - lead
-        fit = (lead >= 0) & (width <= window)
+        fit = (lead >= 0) & (width <= (window * 2 // 3 if window >= 10 else window))
         where, size = lead[fit], width[fit]
-        # The level in the top bits, the highest first, then the name; the other bits of the name come back by mixing.
-        rank = (np.uint64(levels - level) << np.uint64(62)) | (mix(symbols[fit] + np.uint64(level)) >> np.uint64(2))
+        # The level in the top bits, the highest first, then the name.
+        rank = (np.uint64(levels - level) << np.uint64(62)) | (mix(symbols[fit] ^ spelled(where, end[fit])) >> np.uint64(2))
         order = np.argsort(where, kind="stable")
         where, size, rank = where[order], size[order], rank[order]
         # Spans that start at one word: for each number of words before it that the window may begin, the smallest name.
@@ -109,6 +111,18 @@ def anchors(hashes: np.ndarray, text: np.ndarray, window: int, levels: int = 3)
     return best[within(text, window)]
 
 
+_Q = 0xD6E8FEB86659FD93
+
+
+def _spelled(hashes: np.ndarray):
+    """A function that gives a hash of the words from each of some places up to each of others (sums of a polynomial, its powers inverted)."""
+    one = np.ones(1, np.uint64)
+    power = np.concatenate([one, np.cumprod(np.full(len(hashes), _Q, np.uint64))])
+    back = np.concatenate([one, np.cumprod(np.full(len(hashes), pow(_Q, -1, 1 << 64), np.uint64))])
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * power[:-1])])
+    return lambda first, end: (total[end] - total[first]) * back[first] + (end - first).astype(np.uint64)
+
+
 def _spans(flags: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """First and last place of each stretch of set flags within one text."""
     start = flags.copy()
@@ -118,23 +132,20 @@ def _spans(flags: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.flatnonzero(start), np.flatnonzero(stop)
 
 
-def _questions(keys: np.ndarray, doc: np.ndarray, place: np.ndarray, text: np.ndarray, wide: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
-    """What a batch must ask about its keys, and what it knows already.
+def _questions(keys: np.ndarray, doc: np.ndarray, wide: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(later, shared): which places have a key that an earlier document of the batch has, or that any other one has.
 
-    Returns known (places whose key also lies in another, and earlier, document of this batch) and the order of the
-    rest with the earliest document. If two documents of a batch share a key, only the earliest has to ask.
+    If two documents of a batch share a key, only the earliest has to ask about it.
     """
     order = np.lexsort((doc, keys) if wide is None else (doc, wide, keys))
     k, d = keys[order], doc[order]
     new = np.ones(len(k), bool)
     new[1:] = k[1:] != k[:-1]
     if wide is not None:
-        w = wide[order]
-        new[1:] |= w[1:] != w[:-1]
+        new[1:] |= wide[order][1:] != wide[order][:-1]
     group = np.cumsum(new) - 1
-    least = d[new][group]
-    later = d != least
-    shared = np.bincount(group, weights=later, minlength=group[-1] + 1 if len(group) else 0)[group] > 0 if len(group) else later
+    later = d != d[new][group] if len(k) else np.zeros(0, bool)
+    shared = (np.bincount(group, weights=later)[group] > 0) if len(k) else later
     out_later, out_shared = np.zeros(len(k), bool), np.zeros(len(k), bool)
     out_later[order], out_shared[order] = later, shared
     return out_later, out_shared
@@ -144,12 +155,24 @@ def _salt(doc: np.ndarray, place: np.ndarray) -> np.ndarray:
     return mix(doc.view(np.uint64) * _K[0] + place.astype(np.uint64) * _K[1])
 
 
+def _packed(lo: np.ndarray, hi: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """A stretch and a flag in one number: the sign has the flag. lo = -1: no stretch at all."""
+    value = ((lo + 1).astype(np.int64) << 31) | (hi + 1)
+    return np.where(known, ~value, value)
+
+
+def _whole(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The rows of a batch that have a doc_id."""
+    ids = batch.column("doc_id")
+    return batch.filter(ids.is_valid()) if ids.null_count else batch
+
+
 def _anchor_rows(window: int):
-    """(key, doc_id, lo, hi, known): stretches of windows lo to hi of a document with one name; known: shared for sure."""
+    """(key, doc_id, span): stretches of windows of a document with one name; the flag: shared for sure."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, "text"):
+            for part in chunks(_whole(batch), "text"):
                 words = Words(part.column("text"))
                 ids = part.column("doc_id").to_numpy()
                 names = anchors(words.hashes(), words.text, window)
@@ -157,37 +180,38 @@ def _anchor_rows(window: int):
                 text = words.text[ok]
                 place = ok - words.first[text]
                 doc = ids[text]
-                _, shared = _questions(names, doc, place, text)
+                _, shared = _questions(names, doc)
                 # Known stretches: not asked about, and spread by a key of their own.
                 a, b = _spans(shared, text)
                 # Others: neighbouring windows with one name make one row.
                 asks = ~shared
-                start = asks.copy()
-                start[1:] &= ~(asks[:-1] & (names[1:] == names[:-1]) & (text[1:] == text[:-1]))
-                first = np.flatnonzero(start)
-                stop = asks.copy()
-                stop[:-1] &= ~(asks[1:] & (names[1:] == names[:-1]) & (text[1:] == text[:-1]))
-                last = np.flatnonzero(stop)
+                start, stop = asks.copy(), asks.copy()
+                same = asks[:-1] & asks[1:] & (names[1:] == names[:-1]) & (text[1:] == text[:-1])
+                start[1:] &= ~same
+                stop[:-1] &= ~same
+                first, last = np.flatnonzero(start), np.flatnonzero(stop)
                 # The earliest document of a name shared in this batch must still tell other batches of it.
                 heads = np.flatnonzero(shared)
-                uniq, pick = np.unique(names[heads], return_index=True)
+                _, pick = np.unique(names[heads], return_index=True)
                 tell = heads[pick]
-                rows = [(_salt(doc[a], place[a]), doc[a], place[a], place[b], np.ones(len(a), bool)),
-                        (names[first], doc[first], place[first], place[last], np.zeros(len(first), bool)),
-                        (names[tell], doc[tell], np.full(len(tell), -1), np.full(len(tell), -1), np.zeros(len(tell), bool))]
-                key, who, lo, hi, known = (np.concatenate(c) for c in zip(*rows, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(who), pa.array(lo, pa.int32()), pa.array(hi, pa.int32()), pa.array(known)],
-                                                 ["key", "doc_id", "lo", "hi", "known"])
+                none = np.full(len(tell), -1)
+                key = np.concatenate([_salt(doc[a], place[a]), names[first], names[tell]]) >> np.uint64(8)  # 56 bits suffice for candidates
+                who = np.concatenate([doc[a], doc[first], doc[tell]])
+                span = np.concatenate([_packed(place[a], place[b], True), _packed(place[first], place[last], False), _packed(none, none, False)])
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(who), pa.array(span)], ["key", "doc_id", "span"])
 
     return run
 
 
 def _window_rows(window: int):
-    """(key, key2, doc_id, lo, hi, known): candidate windows; known: an earlier document of the batch has the same words."""
+    """(key, key2, doc_id, span, more): candidate windows; the flag: an earlier document of the batch has the same words.
+
+    A window that a document repeats is one row, its other places in more, so a key has a row a batch at most.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in chunks(batch, "text"):
+            for part in chunks(batch.filter(batch.column("spans").is_valid()), "text", 6 << 20):
                 words = Words(part.column("text"))
                 ids = part.column("doc_id").to_numpy()
                 asked = _marked(part.column("spans"), words.first[:-1], len(words))
@@ -196,64 +220,78 @@ def _window_rows(window: int):
                 place = ok - words.first[text]
                 doc = ids[text]
                 one, two = grams(words.hashes(1), window)[ok], grams(words.hashes(2), window)[ok]
-                later, _ = _questions(one, doc, place, text, two)
+                later, _ = _questions(one, doc, two)
                 flags = np.zeros(len(words), bool)
                 flags[ok[later]] = True
                 a, b = _spans(flags, words.text)
                 rest = ~later
-                salt = _salt(ids[words.text[a]], a - words.first[words.text[a]])
-                key, key2 = np.concatenate([salt, one[rest]]), np.concatenate([salt, two[rest]])
-                who = np.concatenate([ids[words.text[a]], doc[rest]])
-                lo = np.concatenate([a - words.first[words.text[a]], place[rest]])
-                hi = np.concatenate([b - words.first[words.text[b]], place[rest]])
-                known = np.concatenate([np.ones(len(a), bool), np.zeros(int(rest.sum()), bool)])
-                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(key2.view(np.int64)), pa.array(who), pa.array(lo, pa.int32()), pa.array(hi, pa.int32()), pa.array(known)],
-                                                 ["key", "key2", "doc_id", "lo", "hi", "known"])
+                lo, hi = a - words.first[words.text[a]], b - words.first[words.text[b]]
+                salt = _salt(ids[words.text[a]], lo)
+                order = np.lexsort((place[rest], two[rest], one[rest]))
+                k1, k2 = one[rest][order], two[rest][order]
+                first = np.flatnonzero(np.concatenate([np.ones(min(1, len(k1)), bool), (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])]))
+                places = _packed(place[rest][order], place[rest][order], False)
+                key, key2 = np.concatenate([salt, k1[first]]), np.concatenate([salt, k2[first]])
+                who = np.concatenate([ids[words.text[a]], doc[rest][order][first]])
+                span = np.concatenate([_packed(lo, hi, True), places[first]])
+                again = np.diff(np.append(first, len(k1))) - 1
+                others = np.ones(len(k1), bool)
+                others[first] = False
+                ends = np.concatenate([np.zeros(len(a) + 1, np.int64), np.cumsum(again)]).astype(np.int32)
+                none = pa.array(np.concatenate([np.ones(len(a), bool), again == 0]))
+                more = pa.ListArray.from_arrays(pa.array(ends), pa.array(places[others]), mask=none)
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array((key2 >> np.uint64(32)).astype(np.uint32).view(np.int32)),
+                                                  pa.array(who), pa.array(span), more], ["key", "key2", "doc_id", "span", "more"])
 
     return run
 
 
 def _marked(spans: pa.Array, first: np.ndarray, n: int) -> np.ndarray:
-    """Flags of the words (of all texts in a row) at which the texts' spans, pairs of first and last place, lie."""
+    """Flags of the words (of all texts in a row) at which the texts' packed stretches lie."""
     change = np.zeros(n + 1, np.int64)
     filled = spans.fill_null([]) if spans.null_count else spans
     counts = filled.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-    flat = filled.flatten()
+    flat = filled.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
     if len(flat):
+        flat = np.where(flat < 0, ~flat, flat)
         base = np.repeat(first, counts)
-        lo, hi = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
-        np.add.at(change, base + lo, 1)
-        np.add.at(change, base + hi + 1, -1)
+        np.add.at(change, base + (flat >> 31) - 1, 1)
+        np.add.at(change, base + (flat & (1 << 31) - 1), -1)
     return np.cumsum(change)[:n] > 0
 
 
-def repeats(docs: DataFrame, window: int) -> DataFrame:
-    """(doc_id, spans): for each document the windows, as first and last start, whose words also start in a document with a smaller doc_id.
+def repeats(texts: DataFrame, window: int) -> DataFrame:
+    """(doc_id, spans): for each document the packed stretches of windows whose words also start in a document with a smaller doc_id.
 
-    docs needs doc_id without nulls and text without nulls. Rows of one doc_id aren't repeats of each other.
+    texts has doc_id and text alone. Rows without a doc_id take no part. Rows of one doc_id aren't repeats of each other.
 
     1. Recompression names each window by a symbol (see anchors); names in two documents make candidates.
-    2. Candidate windows are compared as wholes, by 128 bits of their words; the smallest doc_id owns one.
+    2. Candidate windows are compared as wholes, by 96 bits of their words; the smallest doc_id owns one.
     Within a batch only one row asks for a name or window, so that a passage in a third of all documents
     gives a row a batch at most. Windows and joins are Spark's; hot keys are no longer hot when they are shuffled.
     """
-    every = docs.select("doc_id", "text")
-    named = every.mapInArrow(_anchor_rows(window), "key long, doc_id long, lo int, hi int, known boolean")
+    named = texts.mapInArrow(_anchor_rows(window), "key long, doc_id long, span long")
     key = Window.partitionBy("key")
     shared = (named.withColumn("low", F.min("doc_id").over(key)).withColumn("high", F.max("doc_id").over(key))
-              .filter("lo >= 0 and (known or low < high)"))
-    spans = F.collect_list(F.struct("lo", "hi")).alias("spans")
+              .filter(f"(span < 0 or low < high) and span != {_NONE}"))
+    spans = F.collect_list("span").alias("spans")
     candidates = shared.groupBy(F.col("doc_id").alias("cand_id")).agg(spans)
-    texts = every.join(candidates, F.col("doc_id") == F.col("cand_id")).select("doc_id", "text", "spans")
-    same = texts.mapInArrow(_window_rows(window), "key long, key2 long, doc_id long, lo int, hi int, known boolean")
+    # A left join, as in with_spans(), so that both read one shuffle of the texts; others are passed over in the tasks.
+    asked = texts.join(candidates, F.col("doc_id") == F.col("cand_id"), "left").select("doc_id", "text", "spans")
+    same = asked.mapInArrow(_window_rows(window), "key long, key2 int, doc_id long, span long, more array<long>")
     owner = Window.partitionBy("key", "key2")
-    again = same.withColumn("low", F.min("doc_id").over(owner)).filter("known or low < doc_id")
-    return again.groupBy("doc_id").agg(spans)
+    again = same.withColumn("low", F.min("doc_id").over(owner)).filter("span < 0 or low < doc_id")
+    places = F.when(F.col("more").isNull(), F.array("span")).otherwise(F.concat(F.array("span"), "more"))
+    return again.groupBy("doc_id").agg(F.flatten(F.collect_list(places)).alias("spans"))
+
+
+#: What _packed() makes of no stretch.
+_NONE = 0
 
 
 def _covered(part: pa.RecordBatch, window: int) -> tuple[Words, np.ndarray]:
     words = Words(part.column("text"))
-    starts = _marked(part.column("spans"), words.first[:-1], len(words))
+    starts = _marked(part.column("__spans"), words.first[:-1], len(words))
     at = np.flatnonzero(starts)
     change = np.zeros(len(words) + 1, np.int64)
     np.add.at(change, at, 1)
@@ -262,10 +300,9 @@ def _covered(part: pa.RecordBatch, window: int) -> tuple[Words, np.ndarray]:
 
 
 def with_spans(docs: DataFrame, window: int) -> DataFrame:
-    """docs with the column spans of repeats(); rows without a doc_id or text have none."""
-    known = docs.filter(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    found = repeats(known, window).select(F.col("doc_id").alias("__of"), F.col("spans").alias("__spans"))
-    return docs.drop("spans").join(found, F.col("doc_id") == F.col("__of"), "left").drop("__of").withColumnRenamed("__spans", "spans")
+    """docs with the column __spans: repeats() of each document, null where it has none."""
+    found = repeats(docs.select("doc_id", "text"), window).select(F.col("doc_id").alias("__of"), F.col("spans").alias("__spans"))
+    return docs.join(found, F.col("doc_id") == F.col("__of"), "left").drop("__of")
 
 
 def removal_digests(docs: DataFrame, window: int = 13) -> DataFrame:
@@ -322,4 +359,4 @@ def cut(docs: DataFrame, window: int) -> DataFrame:
                     columns["n_chars"] = pa.array([None if t is None else len(t) for t in texts], part.column("n_chars").type)
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names)
 
-    return with_spans(docs, window).select(*names, "spans").mapInArrow(run, schema)
+    return with_spans(docs, window).select(*names, "__spans").mapInArrow(run, schema)
