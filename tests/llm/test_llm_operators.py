@@ -126,6 +126,39 @@ def test_overlap_is_the_best_stretch(doc, item, shift):
     assert 3 * equal - 2 * length == best or best <= 0
 
 
+def best_passage(doc, item, shift):
+    """(equal, -length) by the law as it is written, over all stretches; None if none counts."""
+    same = [0 <= shift + k < len(doc) and doc[shift + k] == x for k, x in enumerate(item)]
+    enough, found = min(13, -(-4 * len(item) // 5)), []
+    for a, b in itertools.combinations(range(len(item) + 1), 2):
+        equal = sum(same[a:b])
+        if equal >= enough and 5 * equal >= 4 * (b - a) and 0 <= shift + a and shift + b <= len(doc):
+            found.append((equal, a - b))
+    return max(found, default=None)
+
+
+@given(st.integers(1, 60), st.integers(-3, 3), st.integers(15, 30), st.randoms(use_true_random=False))
+@settings(max_examples=200, deadline=None)
+def test_passage_is_the_best_by_the_law(n, shift, percent, rng):
+    item = list(range(n))
+    doc = [-1 if rng.randrange(100) < percent else k - shift for k in range(n)]
+    first, length, equal = decontam.passage(np.array(doc), np.array(item), shift, min(13, -(-4 * n // 5)))
+    assert best_passage(doc, item, shift) == ((equal, -length) if equal else None)
+    assert equal == sum(0 <= shift + k < n and doc[shift + k] == k for k in range(first, first + length))
+
+
+def test_leaks_beside_loose_edits(spark):
+    rng = random.Random(11)
+    item, docs = [f"q{i}" for i in range(59)], {}
+    docs[0] = ["other" if k > 16 and (k - 17) % 7 in (0, 3) else w for k, w in enumerate(item)]
+    for d in range(1, 150):
+        docs[d] = ["other" if rng.random() < 0.15 + 0.001 * d else w for w in item]
+    want = {d: best for d, w in docs.items() if (best := best_passage(w, item, 0))}
+    table = spark.createDataFrame([(d, " ".join(w)) for d, w in docs.items()], "doc_id long, text string")
+    got = decontam.leaks(table, spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")).collect()
+    assert 0 in want and {r["doc_id"]: (r["n_equal"], -r["n_words"]) for r in got} == want and len(want) < len(docs)
+
+
 # --- substring dedup ---
 
 def removal(rows, n):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +60,33 @@ def overlap(doc: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, in
     return low + start, stop + 1 - start, int(same[start : stop + 1].sum())
 
 
+def passage(doc: np.ndarray, item: np.ndarray, shift: int, enough: int, share: float = SHARE) -> tuple[int, int, int]:
+    """(first, length, equal) of the best passage of the item laid at doc[shift:], all 0 if none counts.
+
+    Of all stretches with at least `enough` equal words and at least `share` of their words equal: the one with the most
+    equal words, of several the shortest, then the first. So a loosely edited neighbourhood hides no passage beside it.
+    """
+    low, high = max(0, -shift), min(len(item), len(doc) - shift)
+    if high - low < enough:
+        return 0, 0, 0
+    same = doc[low + shift : high + shift] == item[low:high]
+    before = np.concatenate([[0], np.cumsum(same)])  # equal words before each place
+    if before[-1] < enough:
+        return 0, 0, 0
+    law = Fraction(str(share))
+    # A stretch a..b has the share if spare[a] <= spare[b]. The furthest such a has the most equal words.
+    spare = before * law.denominator - np.arange(len(before)) * law.numerator
+    equal = before - before[np.searchsorted(-np.minimum.accumulate(spare), -spare)]
+    most = int(equal.max())
+    if most < enough:
+        return 0, 0, 0
+    places = np.flatnonzero(same)
+    last = before[equal == most] - 1  # the last equal word of each, counted among the equal ones
+    length = places[last] + 1 - places[last - most + 1]
+    k = int(length.argmin())
+    return low + int(places[last[k] - most + 1]), int(length[k]), most
+
+
 def _keys(masks: tuple[tuple[int, ...], ...], owner: str, bitmap: np.ndarray | None):
     """(key, owner, at) of all windows under all masks, or of those alone whose key the bitmap has."""
 
@@ -85,7 +113,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, share: floa
     that it contains a passage of; documents without any have no row.
 
     A passage counts if it has at least `least` words of the item (or share of all of a shorter one) equal and in
-    place, and at least `share` of its words are equal. Null ids or texts and texts without words match nothing; rows
+    place, and at least `share` of its words are equal. Best: the most equal words, then the shortest. Null ids or texts and texts without words match nothing; rows
     that repeat an id give the best overlap of all. Other columns are ignored.
 
     1. Windows of both sides are hashed under fixed masks that ignore some places. Which keys the benchmark has is
@@ -126,8 +154,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, share: floa
                 for item in row["items"]:
                     other = words_of(pa.array([item["item_text"]])).hashes()
                     enough = min(least, int(np.ceil(share * len(other))))
-                    best = max(((equal, -length, first, shift) for shift in item["shifts"] for first, length, equal in [overlap(doc, other, shift)]
-                                if equal >= enough and equal >= share * length), default=None)
+                    best = max(((equal, -length, first, shift) for shift in item["shifts"]
+                                for first, length, equal in [passage(doc, other, shift, enough, share)] if equal), default=None)
                     if best:
                         equal, length, first, shift = best
                         out.append((row["doc_id"], item["item_id"], first + shift, first, -length, equal, equal / -length))
