@@ -25,6 +25,7 @@ from tidemark.llm.components import components
 from tidemark.session import scratch_dir
 
 RANKS, JSON, PIECES = (public_tokenizers.path(n) for n in ("byte_bpe_multi_50k.tiktoken", "byte_bpe_50k.json", "piece_bpe_32k.model"))
+LIBRARY = Tokenizer.from_file(JSON)
 SF = "/root/testdata/sf0.001"
 
 
@@ -463,6 +464,27 @@ def test_token_files(spark, docs):
         at += len(ids)
 
 
+def test_added_tokens_as_the_library(spark):
+    mark = "<|endoftext|>"
+    texts = [f"end {mark} start", mark, mark * 3, f" {mark}\n\n{mark}it's", None, "", f"plain {mark[:-1]} text", f"a{mark}", f"{mark}'s b", "é 日 " + mark + " \t", "none"]
+    assert LIBRARY.encode(texts[0], add_special_tokens=False).ids == [437, 220, 50256, 923]
+    path, at = scratch_dir(spark, "test-token-files"), 0
+    token_files.write(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path, JSON)
+    got = of(token_files.read(spark, path))
+    for d, text in enumerate(texts):
+        ids = [*LIBRARY.encode(text or "", add_special_tokens=False).ids, 2]
+        assert (got[d]["start"], got[d]["n_tokens"], got[d]["ids_crc32"]) == (at, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        at += len(ids)
+
+
+@given(st.lists(st.lists(st.sampled_from(["<|endoftext|>", "<|endoftext|", "|>", " ", "  ", "\n", "it's", "end", "é"]), max_size=8).map("".join), max_size=5))
+@settings(max_examples=200, deadline=None)
+def test_encoder_as_the_library(texts):
+    flat, counts = token_files.encoder(JSON).encode(pa.array(texts, pa.string()))
+    want = [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+    assert flat.tolist() == [i for w in want for i in w] and counts.tolist() == [len(w) for w in want]
+
+
 def test_token_files_of_awkward_tables(spark, empty, odd):
     for table, n in ((empty, 0), (odd, 5)):
         path = scratch_dir(spark, "test-token-files")

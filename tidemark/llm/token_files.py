@@ -10,6 +10,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -116,13 +117,21 @@ class Encoder:
 
     Byte-level BPE merges within a pre-token alone, so a text's ids are those of its pre-tokens one after the other. The
     memory is arrays: sorted 64-bit hashes of pre-tokens, and where their ids lie; it starts anew at CACHED entries.
+    The file's added tokens are found in texts first, as by the library; what lies between them is a text of its own.
+    A file whose added tokens want whole words or take white space along is refused.
     """
 
     def __init__(self, tokenizer_file: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(tokenizer_file).model
+        library = Tokenizer.from_file(tokenizer_file)
+        self.model = library.model
+        added = library.get_added_tokens_decoder()
+        if any(t.single_word or t.lstrip or t.rstrip for t in added.values()):
+            raise ValueError(f"{tokenizer_file}: added tokens with single_word, lstrip or rstrip")
+        self.added = {t.content: i for i, t in added.items()}
+        self.cut = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")")
         # The model's letters for bytes: printable ones stand for themselves, the others follow from 256 on.
         plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         rest = [b for b in range(256) if b not in set(plain)]
@@ -148,6 +157,17 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and how many each has."""
+        if not any(pc.any(pc.match_substring(texts, t)).as_py() for t in self.added):
+            return self._between(texts)
+        parts = [self.cut.split(t or "") for t in texts.to_pylist()]  # what lies between and tokens in turn
+        flat, counts = self._between(pa.array([b for p in parts for b in p[::2]], pa.large_string()))
+        n = np.array([len(p) // 2 for p in parts], np.int64)
+        last = np.cumsum(n + 1) - 1
+        flat = np.insert(flat, np.delete(np.cumsum(counts), last), [self.added[t] for p in parts for t in p[1::2]])
+        return flat, np.add.reduceat(counts, last - n) + n
+
+    def _between(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """encode() for texts without added tokens."""
         data, lengths, counts = pre_tokens(texts)
         keys, first, code = np.unique(hash_pieces(data, lengths), return_index=True, return_inverse=True)
         missing = np.flatnonzero(self._place(keys) < 0)
