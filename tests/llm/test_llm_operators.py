@@ -160,6 +160,35 @@ def test_leaks_beside_loose_edits(spark):
     assert 0 in want and {r["doc_id"]: (r["n_equal"], -r["n_words"]) for r in got} == want and len(want) < len(docs)
 
 
+def test_masks_miss_no_passage():
+    for n in range(1, decontam.SHORT + 1):
+        for gone in itertools.combinations(range(n), n - min(13, -(-4 * n // 5))):
+            assert any(all(s + o not in gone for o in m) for m in (*decontam.MASKS, *decontam.gaps(n)) for s in range(n - m[-1]))
+    # Most spare words (equal - 4 * other) of all stretches without a whole window, by their last 8 words and equal ones.
+    best = {((), 0): 0}
+    for n in range(1, 60):
+        then = {}
+        for ((last, equal), spare), same in itertools.product(best.items(), (0, 1)):
+            w = (*last, same)
+            if not any(len(w) > m[-1] and all(w[len(w) - 1 - m[-1] + o] for o in m) for m in decontam.MASKS):
+                key = (w[-8:], min(13, equal + same))
+                then[key] = max(then.get(key, -1000), spare + (1 if same else -4))
+        best = then
+        assert all(spare < 0 for (_, equal), spare in best.items() if equal == 13)
+
+
+def test_leaks_of_short_items(spark):
+    docs, items = [], {n: [f"q{n}x{k}" for k in range(n)] for n in range(3, 17)}
+    for n, item in items.items():
+        for gone in itertools.combinations(range(n), n - min(13, -(-4 * n // 5))):
+            docs.append((" ".join(["so", *("other" if k in gone else w for k, w in enumerate(item)), "it", "is"]), n))
+    table = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(docs)], "doc_id long, text string")
+    got = decontam.leaks(table, spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(i, n) for i, (_, n) in enumerate(docs)}
+    fewer = [(n, " ".join(w[: min(13, -(-4 * n // 5)) - 1])) for n, w in items.items()]
+    assert decontam.leaks(spark.createDataFrame(fewer, "doc_id long, text string"), spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")).count() == 0
+
+
 # --- substring dedup ---
 
 def removal(rows, n):

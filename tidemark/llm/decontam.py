@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from fractions import Fraction
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -11,12 +13,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark.llm.words import WHITE_AND_PUNCTUATION, Words, chunks, mix
 
-#: Positions of a window that count in its hash, by mask; the others may hold any word. In 13 words with
-#: any two of them replaced, some window of some mask has its six words whole (tests hold this).
+#: Positions of a window that count in its hash, by mask; the others may hold any word. In a passage of 13
+#: or more equal words, four fifths of its words, some window of some mask has its six words whole (tests hold this).
 MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 3, 4, 6, 7), (0, 2, 3, 5, 6, 8), (0, 1, 2, 6, 7, 8), (0, 3, 4, 5, 7, 8))
-SPAN = 9
 #: Words in an overlap that counts, of a longer item; and the share of them, and of a shorter item, that must be equal.
 LEAST, SHARE = 13, 0.8
+#: Words of the longest item of which fewer than LEAST equal ones, or as many, are that share.
+SHORT = 16
 
 _BITS = 25
 _Q = 0xD6E8FEB86659FD93
@@ -60,6 +63,15 @@ def overlap(doc: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, in
     return low + start, stop + 1 - start, int(same[start : stop + 1].sum())
 
 
+@lru_cache(maxsize=SHORT)
+def gaps(n: int) -> tuple[tuple[int, ...], ...]:
+    """Masks for items of n words, SHORT at most: all words but those that may differ, where no window of MASKS is whole then."""
+    differ = n * (1 - Fraction(str(SHARE))) // 1
+    rests = [[k for k in range(n) if k not in gone] for gone in combinations(range(n), differ)]
+    return tuple(sorted({tuple(k - rest[0] for k in rest) for rest in rests
+                         if not any({at + o for o in mask} <= set(rest) for mask in MASKS for at in range(n - mask[-1]))}))
+
+
 def passage(doc: np.ndarray, item: np.ndarray, shift: int, enough: int, share: float = SHARE) -> tuple[int, int, int]:
     """(first, length, equal) of the best passage of the item laid at doc[shift:], all 0 if none counts.
 
@@ -87,16 +99,22 @@ def passage(doc: np.ndarray, item: np.ndarray, shift: int, enough: int, share: f
     return low + int(places[last[k] - most + 1]), int(length[k]), most
 
 
-def _keys(masks: tuple[tuple[int, ...], ...], owner: str, bitmap: np.ndarray | None):
-    """(key, owner, at) of all windows under all masks, or of those alone whose key the bitmap has."""
+def _keys(masks: dict[tuple[int, ...], list[int] | None], owner: str, bitmap: np.ndarray | None):
+    """(key, owner, at) of all windows under all masks, or of those alone whose key the bitmap has.
+
+    With each mask: the numbers of words of the texts that it is for, None for all texts.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text"):
                 words = words_of(part.column("text"))
                 hashes = words.hashes()
-                for mask in masks:
+                for mask, sizes in masks.items():
                     keys, places = seed_hashes(hashes, words.text, mask)
+                    if sizes is not None:
+                        ok = np.isin(words.counts[words.text[places]], sizes)
+                        keys, places = keys[ok], places[ok]
                     if bitmap is not None and len(keys):
                         bit = keys >> np.uint64(64 - _BITS)
                         ok = (bitmap[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
@@ -116,7 +134,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, share: floa
     place, and at least `share` of its words are equal. Best: the most equal words, then the shortest. Null ids or texts and texts without words match nothing; rows
     that repeat an id give the best overlap of all. Other columns are ignored.
 
-    1. Windows of both sides are hashed under fixed masks that ignore some places. Which keys the benchmark has is
+    1. Windows of both sides are hashed under fixed masks that ignore some places; items of at most SHORT words have masks
+       of their own where those could miss a passage (for LEAST and SHARE; looser parameters are not promised). Which keys the benchmark has is
        marked in a bitmap of 4 MB whatever its size; document windows outside are passed over where they are read.
     2. The rest is joined on the key, and each distinct lie of an item on a document is verified word by word.
     """
@@ -127,18 +146,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, share: floa
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array(words_of(batch.column("text")).counts, pa.int64())], ["n"])
 
-    # Items shorter than a mask are hashed whole: at most SPAN - 1 more masks.
-    short = sorted(r["n"] for r in items.select("text").mapInArrow(sizes, "n long").filter(f"n between 1 and {SPAN - 1}").distinct().collect())
-    masks = MASKS + tuple(tuple(range(n)) for n in short)
+    # Short items have more masks, by the numbers of words that the benchmark has.
+    short = sorted(r["n"] for r in items.select("text").mapInArrow(sizes, "n long").filter(f"n between 1 and {SHORT}").distinct().collect())
+    more = {mask: [n for n in short if mask in gaps(n)] for n in short for mask in gaps(n)}
+    everywhere = dict.fromkeys(MASKS)
     kinds = dict(items.dtypes) | dict(texts.dtypes)
-    seeds = items.mapInArrow(_keys(masks, "item_id", None), f"key long, item_id {kinds['item_id']}, at int").distinct()
+    seeds = items.mapInArrow(_keys(more | everywhere, "item_id", None), f"key long, item_id {kinds['item_id']}, at int").distinct()
     bit = F.shiftrightunsigned("key", 64 - _BITS)
     marked = seeds.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {64 - _BITS}) & 63 as int))")).alias("bits"))
     bitmap = np.zeros(1 << (_BITS - 6), np.uint64)
     found = marked.toArrow()
     bitmap[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
 
-    hits = texts.mapInArrow(_keys(masks, "doc_id", bitmap), f"key long, doc_id {kinds['doc_id']}, at int")
+    hits = texts.mapInArrow(_keys(dict.fromkeys(more) | everywhere, "doc_id", bitmap), f"key long, doc_id {kinds['doc_id']}, at int")
     lies = (hits.join(seeds.select(F.col("key").alias("k"), "item_id", F.col("at").alias("item_at")), F.col("key") == F.col("k"))
             .select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
             .groupBy("doc_id", "item_id").agg(F.collect_list("shift").alias("shifts")))
