@@ -189,6 +189,15 @@ def test_leaks_of_short_items(spark):
     assert decontam.leaks(spark.createDataFrame(fewer, "doc_id long, text string"), spark.createDataFrame([(n, " ".join(w)) for n, w in items.items()], "item_id long, text string")).count() == 0
 
 
+def test_short_items_drop_no_clean_documents(spark):
+    items = spark.createDataFrame([(1, "yes"), (2, "The"), (3, "of the end"), (4, "one two three four"), (5, "a b c d e")], "item_id long, text string")
+    texts = ["yes the end of the end", "the", " Of the END! ", "the the", "one two three four five", "one, two three four", "x a b c d e y", "end the of", "yes yes", "x a b c"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"] for r in decontam.without_leaks(docs, items).collect()} == {0, 3, 4, 7, 8, 9}
+    reported = {(r["doc_id"], r["item_id"]) for r in decontam.leaks(docs, items).collect()}
+    assert reported == {(0, 1), (0, 2), (0, 3), (1, 2), (2, 2), (2, 3), (3, 2), (4, 4), (5, 4), (6, 5), (7, 2), (8, 1)}
+
+
 # --- substring dedup ---
 
 def removal(rows, n):

@@ -20,6 +20,8 @@ MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 3, 4, 6, 7), (0, 2, 3, 5, 6, 8), (0, 1, 2, 6
 LEAST, SHARE = 13, 0.8
 #: Words of the longest item of which fewer than LEAST equal ones, or as many, are that share.
 SHORT = 16
+#: Shorter items are common phrases: documents are dropped for them only if they hold nothing else.
+FEWEST = 5
 
 _BITS = 25
 _Q = 0xD6E8FEB86659FD93
@@ -126,13 +128,14 @@ def _keys(masks: dict[tuple[int, ...], list[int] | None], owner: str, bitmap: np
     return run
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, share: float = SHARE) -> DataFrame:
+def leaks(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, share: float = SHARE, alone: int = 0) -> DataFrame:
     """(doc_id, item_id, doc_start, item_start, n_words, n_equal, similarity): the best overlap of each document with each item
     that it contains a passage of; documents without any have no row.
 
     A passage counts if it has at least `least` words of the item (or share of all of a shorter one) equal and in
     place, and at least `share` of its words are equal. Best: the most equal words, then the shortest. Null ids or texts and texts without words match nothing; rows
-    that repeat an id give the best overlap of all. Other columns are ignored.
+    that repeat an id give the best overlap of all. Other columns are ignored. Items of fewer than `alone` words count only
+    where they are the whole text of a document.
 
     1. Windows of both sides are hashed under fixed masks that ignore some places; items of at most SHORT words have masks
        of their own where those could miss a passage (for LEAST and SHARE; looser parameters are not promised). Which keys the benchmark has is
@@ -158,7 +161,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, share: floa
     found = marked.toArrow()
     bitmap[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
 
-    hits = texts.mapInArrow(_keys(dict.fromkeys(more) | everywhere, "doc_id", bitmap), f"key long, doc_id {kinds['doc_id']}, at int")
+    inside = {mask: of if max(of) < alone else None for mask, of in more.items()}
+    hits = texts.mapInArrow(_keys(inside | everywhere, "doc_id", bitmap), f"key long, doc_id {kinds['doc_id']}, at int")
     lies = (hits.join(seeds.select(F.col("key").alias("k"), "item_id", F.col("at").alias("item_at")), F.col("key") == F.col("k"))
             .select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
             .groupBy("doc_id", "item_id").agg(F.collect_list("shift").alias("shifts")))
@@ -173,6 +177,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, share: floa
                 doc = words_of(pa.array([row["text"]])).hashes()
                 for item in row["items"]:
                     other = words_of(pa.array([item["item_text"]])).hashes()
+                    if len(other) < alone and len(doc) != len(other):
+                        continue
                     enough = min(least, int(np.ceil(share * len(other))))
                     best = max(((equal, -length, first, shift) for shift in item["shifts"]
                                 for first, length, equal in [passage(doc, other, shift, enough, share)] if equal), default=None)
@@ -193,6 +199,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, least: int = LEAST, share: floa
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without the documents that contain a passage of the benchmark; rows without a doc_id stay."""
-    found = leaks(docs, benchmark).select(F.col("doc_id").alias("leaked")).distinct()
+    """docs without the documents that contain a passage of the benchmark; rows without a doc_id stay.
+
+    Items of fewer than FEWEST words ('yes', 'the') stand in clean documents too: they drop a document only if they are all
+    of its words. leaks() reports them wherever they stand.
+    """
+    found = leaks(docs, benchmark, alone=FEWEST).select(F.col("doc_id").alias("leaked")).distinct()
     return docs.join(found, docs["doc_id"] == found["leaked"], "left_anti")
