@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, decontam, fingerprints, lattice_lm, neardup, preference, quality, sharding, substrings, token_files
+from tidemark.llm import bpe, decontam, fingerprints, lattice_lm, lexical, merkle, neardup, pieces, preference, quality, sharding, substrings, token_files
 from tidemark.llm.ship import ship
 from tidemark.session import scratch_dir
 
@@ -80,3 +80,18 @@ def op9_token_files(spark, sf_dir):
 @query
 def op10_preference_format(spark, sf_dir):
     return preference.preferences(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@query
+def op11_sentencepiece(spark, sf_dir):
+    return pieces.encode_digests(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op12_lexical_search(spark, sf_dir):
+    return lexical.rank(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), k=50)
+
+
+@query
+def op13_merkle_manifest(spark, sf_dir):
+    return merkle.verified(documents(spark, sf_dir))
