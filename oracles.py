@@ -275,6 +275,11 @@ select customer_natural_key as k, customer_key, segment, valid_from as f, valid_
 union all
 select customer_natural_key, md5(customer_key || 'x'), segment, valid_from - interval 30 day,
   valid_from + interval 370 day from dim_c where segment = 'CORPORATE'"""
+ORACLES["scd2_overlapping"] = _sql("""
+select k as customer_natural_key, customer_key, cast(f as varchar) as valid_from, cast(t as varchar) as valid_to,
+  cast(until as varchar) as covered_until
+from (select *, max(t) over (partition by k order by f, t, customer_key rows between unbounded preceding and 1 preceding) as until
+      from damaged_keyed) where until > f""")
 ORACLES["scd2_asof_damaged_search"] = _sql("""
 select x.transaction_id, x.customer_id, cast(x.created_at as varchar) as created_at, c.customer_key, c.segment
 from stg_t x left join damaged_keyed c on c.k = x.customer_id and c.f <= x.created_at and x.created_at < c.t
@@ -460,6 +465,25 @@ union all
 select 'product', product_id, count(*) from stg_a
 where product_id not in (select product_natural_key from dim_p) group by product_id""")
 
+ORACLES["dq_relationships"] = _sql(f"""
+select 'account' as relation, account_id as orphan_key, count(*) as fact_rows from stg_t
+where account_id not in (select account_natural_key from dim_a) group by account_id
+union all select 'customer', customer_id, count(*) from stg_t
+where customer_id not in (select customer_natural_key from dim_c) group by customer_id
+union all select 'owner', customer_id, count(*) from stg_a
+where customer_id not in (select customer_natural_key from dim_c) group by customer_id
+union all select 'product', product_id, count(*) from stg_a
+where product_id not in (select product_natural_key from dim_p) group by product_id
+union all select 'card', card_id, count(*) from both_h
+where card_id not in (select cast(id as varchar) from cards) group by card_id
+union all select 'merchant', merchant_id, count(*) from both_h
+where merchant_id not in (select merchant_natural_key from merchants) group by merchant_id
+union all select 'channel', channel, count(*) from both_h where channel not in (select channel from channels) group by channel
+union all select 'date', cast(txn_date as varchar), count(*) from both_h
+where txn_date not between date '{CALENDAR[0]}' and date '{CALENDAR[1]}' group by txn_date
+union all select 'customer_master', cast(customer_natural_key as varchar), count(*) from both_h
+where customer_natural_key not in (select id from users) group by customer_natural_key""")
+
 
 # --- quality ----------------------------------------------------------------------------
 
@@ -602,6 +626,22 @@ select transaction_id, cast(amount + fix as double) as amount, transaction_type,
 from (select *, cast(transaction_type = 'CASH_OUT' as int) as fix from stg_t)""")
 
 ORACLES["full_refresh"] = ORACLES["fact_transactions"]
+ORACLES["incremental_ledger"] = ORACLES["fact_transactions"]
+ORACLES["incremental_by_mark"] = ORACLES["fact_transactions"]
+ORACLES["versions_read_back"] = _sql("""
+select 1 as version, transaction_id, cast(amount as double) as amount from fact where _batch_id = 'batch_1'
+union all select 2, transaction_id, cast(amount as double) from fact""")
+ORACLES["upsert_key_index"] = ORACLES["upsert_corrections"]
+_UNIFIED_TEXT = ", ".join(f"cast({c} as varchar) as {c}" for c in (HARMONIZED[1] + " date_key").split())
+_UNIFIED_MONEY = ", ".join(f"cast({c} as double) as {c}" for c in (HARMONIZED[0] + " balance_delta").split())
+ORACLES["incremental_unified"] = _sql(f"select * exclude (_batch_id) replace ({_UNIFIED_TEXT}, {_UNIFIED_MONEY}) from unified")
+ORACLES["channels_run"] = ORACLES["incremental_unified"]
+ORACLES["pipeline_run"] = _sql(f"""select * exclude (_batch_id) replace ({", ".join(f"cast({c} as double) as {c}" for c in FACT_MONEY.split())},
+  {", ".join(f"cast({c} as varchar) as {c}" for c in FACT_TEXT.split())}) from fact""")
+ORACLES["money_ids_over_batches"] = _sql("""
+select _batch_id, content || '-' || cast(row_number() over (partition by content order by _batch_id) as varchar) as row_id, step, "nameOrig"
+from (select _batch_id, content, step, "nameOrig" from money_i union all
+      select 'b1', content, step, "nameOrig" from money_i where step % 2 = 0)""")
 ORACLES["upsert_out_of_order"] = ORACLES["upsert_corrections"]
 ORACLES["upsert_null_and_repeated_keys"] = _sql("""
 select distinct case when transaction_type <> 'DEBIT' then transaction_id end as transaction_id, account_id,

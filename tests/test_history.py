@@ -6,9 +6,11 @@ import random
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
+from pyspark.sql import functions as F
 from tidemark.operators import scd2
 from tidemark.operators.dedup import dedup_latest, exact_sample
-from tidemark.operators.hotkeys import hot_keys, number_copies, with_next
+from tidemark.operators.copies import expand_copies
+from tidemark.operators.hotkeys import SLICE, hot_keys, with_next, with_slice
 
 SHAPE = "customer_id string, segment string, updated_at timestamp_ntz"
 DAY = dt.datetime(2024, 1, 1)
@@ -164,19 +166,50 @@ def test_dedup_limits_groups_before_the_shuffle(spark):
 
 
 def test_copies_are_numbered_in_any_chunking(spark):
-    df = spark.createDataFrame([("a", 1)] * 23 + [("b", None)] * 4 + [("c", 2)], "k string, v int")
+    df = spark.createDataFrame([("a", 1, 23), ("b", None, 4), ("c", 2, 1)], "k string, v int, copies long")
     for chunk in (5, 10, 1000):
-        got = sorted((r.k, r.n) for r in number_copies(df, "n", chunk).collect())
+        got = sorted((r.k, r.n) for r in expand_copies(df, "copies", "n", chunk).collect())
         assert got == [("a", i) for i in range(1, 24)] + [("b", i) for i in range(1, 5)] + [("c", 1)]
 
 
-def test_hot_keys_are_bounded(spark):
+def test_hot_keys_hold_more_than_a_tasks_share(spark):
     df = versions(spark, [("a", "x", i) for i in range(9)] + [("b", "x", i) for i in range(5)]
                   + [("c", "x", 1)] + [(None, "x", 1)] * 20)
-    keys = lambda *a, **k: [r[0] for r in hot_keys(
-        df, "customer_id", "updated_at", *a, **k).collect()]
-    assert keys(3) == ["a", "b"] and keys(3, most=1) == ["a"]
-    assert hot_keys(df, "customer_id", "updated_at", 15) is None
+    keys = lambda *a: sorted(r[0] for r in hot_keys(df, "customer_id", "updated_at", *a).collect())
+    assert keys() == ["a", "b"]  # of 15 rows over 4 partitions
+    assert keys(5) == ["a"] and keys(0) == ["a", "b", "c"]
+    assert hot_keys(df, "customer_id", "updated_at", 9) is None
+    assert hot_keys(df.limit(0), "customer_id", "updated_at") is None
+
+
+def test_a_key_with_all_rows_is_cut_into_even_slices(spark):
+    """Also where most of its rows lie within one second."""
+    rows = [("a", "x", i) for i in range(200)]
+    df = versions(spark, rows).withColumn("updated_at", F.when(
+        F.col("segment") == "x", F.timestamp_seconds(F.lit(1.7e9) + F.expr("ln(1 + minute(updated_at) + 60 * hour(updated_at)) / 10")).cast("timestamp_ntz")))
+    hot = hot_keys(df, "customer_id", "updated_at")
+    sizes = [r["count"] for r in with_slice(df, "customer_id", "updated_at", hot).groupBy(SLICE).count().collect()]
+    assert len(sizes) > 10 and max(sizes) < 40
+
+
+@pytest.mark.parametrize("hot_rows", [None, 4, 0])
+def test_overlapping_versions_as_by_pairs(spark, hot_rows):
+    rng = random.Random(5)
+    rows = []
+    for i in range(150):
+        begin = rng.randrange(4000)
+        rows.append((rng.choice("aaaab"), f"s{i}", at(begin), at(begin + rng.choice([0, 1, 5, 900]))))
+    rows += [rows[0], ("c", "x", at(1), None), ("c", "y", at(5), at(6)), (None, "z", at(1), None), (None, "z", at(1), None)]
+    dim = spark.createDataFrame(rows, "customer_natural_key string, customer_key string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    got = sorted((r.customer_key, r.covered_until) for r in scd2.scd2_overlapping(dim, hot_rows=hot_rows).collect())
+    end, want = dt.datetime(9999, 12, 31), []
+    for key in "abc":
+        until = None
+        for f, t, s in sorted((f, t or end, s) for k, s, f, t in rows if k == key):
+            if until and until > f:
+                want.append((s, until))
+            until = max(until or t, t)
+    assert got == sorted(want)
 
 
 @pytest.mark.parametrize("hot_rows", [10**6, 10, 0])

@@ -2,7 +2,8 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, oracle_sql
+from catalog import CATALOG
 from check import compare, connect
 
 SF = "/root/testdata/sf0.001"
@@ -13,14 +14,14 @@ def duck():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(CATALOG))
 def test_query_agrees_with_sql(spark, duck, name):
     outcome, _ = compare(spark, duck, name, SF)
     assert outcome.startswith("ok"), outcome
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(CATALOG) <= set(oracle_sql())
 
 
 def test_entry(spark):

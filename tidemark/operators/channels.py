@@ -8,18 +8,22 @@ from tidemark.session import scratch_dir
 from tidemark.contracts import STEP_ZERO
 from tidemark.functions import (MONEY, content_hash, deposit_category, entry_mode, is_high_risk,
                                 parse_money, sign_type, stable_bucket, step_instant, typed_null)
-from tidemark.operators.hotkeys import COPY_CHUNK, number_copies
+from tidemark.operators.copies import COPY_CHUNK, expand_copies
 from tidemark.operators.lookup import lookup
 
 ONE_TASK_ROWS = 100_000   # keys that one task numbers
 
 
-def harmonize_card(transactions: DataFrame, labels: DataFrame, mcc: DataFrame) -> DataFrame:
+def harmonize_card(transactions: DataFrame, labels: DataFrame, mcc: DataFrame, few: bool = False) -> DataFrame:
     """Card feed in the common schema.
 
     The label table is as large as the feed, so both are shuffled on the transaction id (or read
-    from tables bucketed on it, see ``save_bucketed``). Unlabelled rows keep ``is_fraud`` NULL.
+    from tables bucketed on it, see ``save_bucketed``). Unlabelled rows keep ``is_fraud`` NULL. With ``few`` the
+    transactions are an increment: the labels are first reduced to their ids, by a semi-join that Spark can broadcast
+    the ids for, so that the label table is read but not shuffled.
     """
+    if few:
+        labels = labels.join(transactions.select(F.col("id").alias("transaction_id")).distinct(), "transaction_id", "left_semi")
     verdict = labels.select(F.col("transaction_id").alias("id"), "fraud_label",
                             F.lit(True).alias("_labelled"))
     amount = parse_money("amount")
@@ -43,20 +47,67 @@ def harmonize_card(transactions: DataFrame, labels: DataFrame, mcc: DataFrame) -
     ))
 
 
-def money_ids(feed: DataFrame, chunk: int = COPY_CHUNK) -> DataFrame:
+_MONEY_AMOUNTS = ("amount", "oldbalanceOrg", "newbalanceOrig", "oldbalanceDest", "newbalanceDest")
+_MONEY_CONTENT = ("step", "type", "amount", "nameOrig", "oldbalanceOrg", "newbalanceOrig",
+                  "nameDest", "oldbalanceDest", "newbalanceDest", "isFraud", "isFlaggedFraud")
+
+
+def _counted(feed: DataFrame) -> DataFrame:
+    """Distinct normalised mobile-money rows of each batch, their content hash and number of copies."""
+    typed = feed.select(*[F.col(c).cast(MONEY).alias(c) if c in _MONEY_AMOUNTS else F.col(c)
+                          for c in _MONEY_CONTENT], "_batch_id")
+    return (typed.groupBy(*typed.columns).agg(F.count(F.lit(1)).alias("_copies"))
+            .withColumn("_content", content_hash(*_MONEY_CONTENT)))
+
+
+def _placed(counted: DataFrame, ledger: DataFrame | None) -> DataFrame:
+    """counted with ``_turn`` (when its batch was first numbered) and ``_before`` (copies of the content numbered earlier).
+
+    A window over one content holds one row for each batch that brought it.
+    """
+    earlier = Window.partitionBy("_content").orderBy("_turn", "_batch_id").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("_copies").over(earlier), F.lit(0))
+    if ledger is None:
+        return counted.withColumn("_turn", F.lit(0).cast("bigint")).withColumn("_before", before)
+    held = ledger.select(F.col("content").alias("_c"), F.col("_batch_id").alias("_b"),
+                         F.col("copies").alias("_n"), F.col("turn").alias("_t"))
+    same = (F.col("_content") == F.col("_c")) & F.col("_batch_id").eqNullSafe(F.col("_b"))
+    mine = (counted.join(held, same, "left").drop("_c", "_b", "_n")
+            .withColumn("_turn", F.coalesce("_t", F.lit(1 << 62))).drop("_t")  # new batches come after all in the ledger
+            .withColumn("_mine", F.lit(True)))
+    brought = counted.select("_content", "_batch_id")
+    others = (held.join(brought, same, "left_anti").join(brought, F.col("_content") == F.col("_c"), "left_semi")
+              .select(F.col("_c").alias("_content"), F.col("_b").alias("_batch_id"), F.col("_n").alias("_copies"), F.col("_t").alias("_turn")))
+    both = mine.unionByName(others, allowMissingColumns=True)
+    return both.withColumn("_before", before).where("_mine").drop("_mine")
+
+
+def money_ids(feed: DataFrame, ledger: DataFrame | None = None, chunk: int = COPY_CHUNK) -> DataFrame:
     """Normalised mobile-money rows with an id made from their content.
 
-    The feed has no key. Equal rows of one batch get the same hash and are told apart by an
-    occurrence number, so loading a batch again gives the same ids.
+    The feed has no key. Equal rows get the same hash and are told apart by an occurrence number, which goes on over the
+    batches: the same content in two batches is two payments. Batches that ``ledger`` (see :func:`occurrences`) knows
+    keep their numbers, so that a batch delivered again has the ids it had, in whatever order batches came; new ones follow
+    in the order of their ids. Without a ledger all batches count in the order of their ids.
+    """
+    placed = _placed(_counted(feed), ledger)
+    return (expand_copies(placed, "_copies", "_copy", chunk)
+            .withColumn("row_id", F.concat("_content", F.lit("-"), (F.col("_before") + F.col("_copy")).cast("string")))
+            .select(*_MONEY_CONTENT, "_batch_id", "row_id"))
+
+
+def occurrences(feed: DataFrame, turn: int, ledger: DataFrame | None = None) -> DataFrame:
+    """Ledger rows (content, _batch_id, copies, turn) of a feed's batches; those known already keep their turn.
+
+    ``turn`` must rise from one call to the next. Adding these rows to the ledger, a batch's in place of its old ones,
+    before the ids are used makes a rerun give the same ids.
     """
-    amounts = ["amount", "oldbalanceOrg", "newbalanceOrig", "oldbalanceDest", "newbalanceDest"]
-    content = ["step", "type", "amount", "nameOrig", "oldbalanceOrg", "newbalanceOrig",
-               "nameDest", "oldbalanceDest", "newbalanceDest", "isFraud", "isFlaggedFraud"]
-    typed = feed.select(*[F.col(c).cast(MONEY).alias(c) if c in amounts else F.col(c)
-                          for c in content], "_batch_id")
-    return number_copies(typed, "_occurrence", chunk).withColumn(
-        "row_id", F.concat(content_hash(*content), F.lit("-"),
-                           F.col("_occurrence").cast("string"))).drop("_occurrence")
+    counted = _counted(feed).select(F.col("_content").alias("content"), "_batch_id", F.col("_copies").alias("copies"))
+    if ledger is None:
+        return counted.withColumn("turn", F.lit(turn).cast("bigint"))
+    known = ledger.groupBy(F.col("_batch_id").alias("_b")).agg(F.min("turn").alias("_t"))
+    return (counted.join(known, F.col("_batch_id").eqNullSafe(F.col("_b")), "left")
+            .withColumn("turn", F.coalesce("_t", F.lit(turn).cast("bigint"))).drop("_b", "_t"))
 
 
 def number_pool(pool: DataFrame, key: str, one_task_rows: int = ONE_TASK_ROWS,
@@ -91,9 +142,9 @@ def entity_bucket(df: DataFrame, name: str, pool: DataFrame, key: str, out: str)
     return (df.withColumn("rn", stable_bucket(name, size)).join(numbered, "rn", "left").drop("rn"))
 
 
-def harmonize_money(feed: DataFrame, users: DataFrame) -> DataFrame:
+def harmonize_money(feed: DataFrame, users: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
     """Mobile-money feed in the common schema; senders are mapped onto the customer master."""
-    mapped = entity_bucket(money_ids(feed), "nameOrig", users, "id", "_client")
+    mapped = entity_bucket(money_ids(feed, ledger), "nameOrig", users, "id", "_client")
     at = step_instant("step", STEP_ZERO)
     return mapped.select(
         F.concat(F.lit("MM-"), F.col("row_id")).alias("transaction_id"),
@@ -118,9 +169,8 @@ def unify(card: DataFrame, money: DataFrame, channel: DataFrame, customer: DataF
     """One fact over both channels.
 
     Mobile money has neither card nor merchant, so those two lookups run on the card rows only:
-    its NULL keys are never shuffled into one task. The channel table has two rows and the date
-    table one row per calendar day, which bounds both broadcasts; the other dimensions are
-    broadcast only if Spark finds them small.
+    its NULL keys are never shuffled into one task. No side is broadcast by a hint: Spark does it
+    where it finds one small, as the two channels and the calendar are.
     """
     card_keys = cards.select(F.col("card_natural_key").cast("string").alias("_card"), "card_key")
     merchant_keys = merchant.select("merchant_natural_key", "merchant_key")
@@ -132,8 +182,8 @@ def unify(card: DataFrame, money: DataFrame, channel: DataFrame, customer: DataF
     both = with_card.unionByName(money.select(
         "*", typed_null("string").alias("card_key"), typed_null("string").alias("merchant_key")))
     u = (lookup(both, customer_keys, "customer_natural_key", "_customer", "transaction_id")
-         .join(F.broadcast(channel.select("channel", "channel_key")), "channel", "left")
-         .join(F.broadcast(dates.select("date_key")), F.col("txn_date") == F.col("date_key"),
+         .join(channel.select("channel", "channel_key"), "channel", "left")
+         .join(dates.select("date_key"), F.col("txn_date") == F.col("date_key"),
                "left"))
     return u.select(
         "transaction_id", "channel_key", "customer_key", "card_key", "merchant_key", "date_key",

@@ -1,62 +1,83 @@
 """Splitting of hot groups.
 
 A window over ``partitionBy(key)`` puts all rows of one key into one task. The helpers here
-find the few keys that are too large for that and cut each of them along time into slices of
-about equal duration, so that a window over ``(key, slice)`` does the work and only one summary
-row per slice has to be looked at across slices. The answer does not depend on which keys are
-called hot or how they are cut: any choice is exact.
+find the keys that hold more than an average task's share of the rows and cut each of them along
+time into slices of about equal numbers of rows, so that a window over ``(key, slice)`` does the work
+and only one summary row per slice has to be looked at across slices. The answer does not depend
+on which keys are called hot or how they are cut: any choice is exact.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions import instant_micros
+from tidemark.operators.copies import expand_copies
 
-HOT_ROWS = 1_000_000      # a key below this many rows is left to one task
-HOT_KEYS = 10_000         # at most this many keys are cut: bounds the broadcasts below
 SLICE = "_slice"
-COPY_CHUNK = 1_000_000    # copies of one row that one task may write out
+_STEP = 32                # bounds that are compared at once when a row's slice is looked up
 
 
-def hot_keys(df: DataFrame, key: str, ts: str, floor: int = HOT_ROWS,
-             most: int = HOT_KEYS) -> DataFrame | None:
-    """The largest keys with more than ``floor`` rows, at most ``most`` of them, with the start
-    (``_from``) and width (``_width``) in microseconds of their slices. None for a table that has
-    no more than ``floor`` rows in all and therefore no such key.
+def hot_keys(df: DataFrame, key: str, ts: str, floor: int | None = None) -> DataFrame | None:
+    """Keys with more than ``floor`` rows and their ``_bounds``: ascending instants in microseconds at which
+    their slices begin. None if there is no such key. Runs one job, two where a key is hot.
 
-    Counting combines on the map side. A key that is passed over because ``most`` others are
-    larger holds less than 1/``most`` of the table. Rows without instant are not cut.
+    By default the floor is the table's rows divided by the shuffle partitions: what a task has anyway. So there are
+    fewer hot keys than partitions and at most some four slices for each partition, whatever the size of the table. Counts
+    and quantiles combine on the map side. Bounds follow the rows, not the time: a burst is cut as often as it is large.
+    Rows without instant are not cut, nor are different rows at the same microsecond.
     """
     keyed = df.select(key, ts).where(F.col(key).isNotNull() & F.col(ts).isNotNull())
-    if keyed.count() <= floor:
+    sizes = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    seen = sizes.agg(F.sum("_rows").alias("all"), F.max("_rows").alias("most")).first()
+    if floor is None:
+        floor = -(-(seen["all"] or 0) // parts)
+    if (seen["most"] or 0) <= floor:
         return None
-    sizes = keyed.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), F.min(ts).alias("_min"),
-                                   F.max(ts).alias("_max"))
-    largest = (sizes.where(F.col("_rows") > floor)
-               .orderBy(F.col("_rows").desc(), F.col(key)).limit(most))
-    start, stop = instant_micros("_min"), instant_micros("_max")
-    slices = F.ceil(4 * F.col("_rows") / F.lit(max(floor, 1)))
-    width = F.greatest(F.ceil((stop - start) / slices), F.lit(1)).cast("bigint")
-    return largest.select(key, start.alias("_from"), width.alias("_width"))
+    n = 4 * parts
+    found = (keyed.join(sizes.where(F.col("_rows") > floor), key)
+             .groupBy(key, "_rows").agg(F.percentile_approx(instant_micros(ts), [i / n for i in range(n + 1)], 4 * n).alias("_all")))
+    # A key needs four slices for each task's share that it holds: every _nth of the quantiles.
+    nth = F.greatest(F.floor(F.lit(n) * max(floor, 1) / (4 * F.col("_rows"))), F.lit(1)).cast("int")
+    bounds = F.array_sort(F.array_distinct(F.filter("_all", lambda x, i: i % F.col("_nth") == 0)))
+    rows = found.withColumn("_nth", nth).select(key, bounds.alias("_bounds"))
+    # Fewer rows than partitions, unless a caller asks for a lower floor; kept, so that every use sees the same bounds.
+    return df.sparkSession.createDataFrame(rows.collect(), rows.schema)
+
+
+def _slice_of(at: Column, bounds: Column) -> Column:
+    """How many bounds lie at or before ``at``: first by every _STEP-th of them, then within that stretch."""
+    coarse = F.size(F.filter(bounds, lambda b, i: (i % _STEP == 0) & (b <= at)))
+    begin = F.greatest(coarse - 1, F.lit(0)) * _STEP
+    return begin + F.size(F.filter(F.slice(bounds, begin + 1, F.lit(_STEP)), lambda b: b <= at))
 
 
 def with_slice(df: DataFrame, key: str, ts: str, hot: DataFrame, how: str = "left") -> DataFrame:
-    """Add ``_slice``: the number of the time slice for rows of hot keys, NULL for all others
+    """Add ``_slice``: the number of the slice for rows of hot keys, NULL for all others
     (which ``how="inner"`` leaves out)."""
-    number = F.floor((instant_micros(ts) - F.col("_from")) / F.col("_width"))
-    return (df.join(F.broadcast(hot), key, how)  # at most HOT_KEYS rows
-            .withColumn(SLICE, F.when(F.col("_width").isNotNull(), number))
-            .drop("_from", "_width"))
+    return (df.join(F.broadcast(hot), key, how)  # fewer keys than partitions, some four bounds a partition in all
+            .withColumn(SLICE, F.when(F.col("_bounds").isNotNull(), _slice_of(instant_micros(ts), F.col("_bounds"))))
+            .drop("_bounds"))
+
+
+def carried_in(sliced: DataFrame, key: str, states: dict[str, Column]) -> DataFrame:
+    """(key, _slice, states): for each slice the maximum of each state over all earlier slices of its key.
+
+    One row a slice; where a state should be the last value in time, let it be a struct that begins with the instant.
+    """
+    each = sliced.groupBy(key, SLICE).agg(*[F.max(c).alias(f"_{n}") for n, c in states.items()])
+    earlier = Window.partitionBy(key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    return each.select(key, SLICE, *[F.max(f"_{n}").over(earlier).alias(n) for n in states])
 
 
 def with_next(df: DataFrame, key: str, ts: str, out: str, ties: list[str] | None = None,
-              hot_rows: int = HOT_ROWS) -> DataFrame:
+              hot_rows: int | None = None) -> DataFrame:
     """``lead(ts) over (partition by key order by ts)`` that survives hot keys.
 
     Hot keys go their own way: copies of a row are counted, the remaining rows are windowed per
     slice with a marker row at the end of each slice that holds the first instant of the next,
-    and the copies are written out again. NULL instants sort last.
+    and the copies are written out again. NULL instants sort last. Building runs a job that looks for hot keys.
     """
     order = [F.col(ts).asc_nulls_last()]
     order += [F.col(c).asc_nulls_last() for c in (ties or [])]
@@ -86,32 +107,3 @@ def with_next(df: DataFrame, key: str, ts: str, out: str, ties: list[str] | None
     ).select(*df.columns, out)
     return (cold.select(*df.columns, out).unionByName(untimed.select(*df.columns, out))
             .unionByName(hot_rows_))
-
-
-def expand_copies(counted: DataFrame, n: str, out: str, chunk: int = COPY_CHUNK) -> DataFrame:
-    """Write out every row ``n`` times, numbered 1..n in ``out``; a row with more than ``chunk``
-    copies is written out by several tasks."""
-    columns, c = counted.columns, F.col(n)
-    one = F.lit(1).cast("bigint")
-    few = counted.where(c <= chunk).select(*columns, F.explode(F.sequence(one, c)).alias(out))
-    first = F.col("_part") * chunk + 1
-    many = (counted.where(c > chunk)
-            .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"),
-                                                      F.floor((c - 1) / chunk))))
-            .repartition(*columns, "_part")
-            .select(*columns, F.explode(
-                F.sequence(first, F.least(first + chunk - 1, c))).alias(out)))
-    return few.unionByName(many)
-
-
-def number_copies(df: DataFrame, out: str, chunk: int = COPY_CHUNK) -> DataFrame:
-    """Number the copies of every distinct row 1..n without gathering them in one task.
-
-    Copies are first counted (combining on the map side) and then written out again.
-    """
-    columns = df.columns
-    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies"))
-    if df.count() <= chunk:  # answered from file footers where the rows come straight from Parquet
-        numbers = F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))
-        return counted.select(*columns, F.explode(numbers).alias(out))
-    return expand_copies(counted, "_copies", out, chunk).drop("_copies")

@@ -57,9 +57,11 @@ def one_per_key(df: DataFrame, key: str, latest: list[str | Column]) -> DataFram
     the order of arrival does not matter. A NULL key identifies nothing: different rows without a
     key all stay, equal ones are one row delivered again.
     """
-    others = [c for c in df.columns if not c.startswith("_incoming")]
+    others = df.columns
     ties = [F.struct(*[F.col(c) for c in others])]
-    content = F.when(F.col(key).isNull(), F.xxhash64(*others))
+    # 256 bits of the row's own bytes: two different rows without key are never taken for one.
+    text = F.to_json(F.struct(*[F.col(c) for c in others]), {"ignoreNullFields": "false"})
+    content = F.when(F.col(key).isNull(), F.sha2(text, 256))
     keyed = df.withColumn("_content", content)
     return dedup_latest(keyed, [key, "_content"], [*latest, *ties]).drop("_content")
 
@@ -93,6 +95,25 @@ class Folder:
         if not self._files.rename(self._path, other._path):
             raise OSError(f"cannot move {self.path} to {other.path}")
 
+    def read_text(self) -> str:
+        """The content of a small file."""
+        stream = self._files.open(self._path)
+        try:
+            return bytes(stream.readAllBytes()).decode()
+        finally:
+            stream.close()
+
+    def write_text(self, text: str) -> None:
+        stream = self._files.create(self._path, True)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+
+    def files(self) -> list[str]:
+        if not self.exists():
+            return []
+        return [s.getPath().getName() for s in self._files.listStatus(self._path)
+                if s.isFile() and not s.getPath().getName().startswith(("_", "."))]
+
     def subfolders(self) -> list[str]:
         if not self.exists():
             return []
@@ -204,14 +225,14 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: str, partition
                  .join(rows.select(key), key, "left_semi"))
         touched |= _folders_of(moved, partition)
     old = target.where(_in_folders(partition, touched))
-    write_partitioned(_merged_latest(old, rows, key, latest), f"{staging.path}/rows", partition)
+    write_partitioned(merged_latest(old, rows, key, latest), f"{staging.path}/rows", partition)
     for name in touched - set((staging / "rows").subfolders()):
         (staging / "emptied" / name).make()
     (staging / "complete").make()
     _finish(spark, path)
 
 
-def _merged_latest(old: DataFrame, rows: DataFrame, key: str, latest: list[str]) -> DataFrame:
+def merged_latest(old: DataFrame, rows: DataFrame, key: str, latest: list[str]) -> DataFrame:
     """Old rows whose key the batch lacks, untouched, and the winner of every key it has.
 
     Only old rows with a key of the batch are ranked with it; the rest, nearly all, is one anti

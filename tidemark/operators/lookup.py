@@ -7,6 +7,8 @@ run time under AQE) and otherwise shuffles both sides, splitting hot keys of the
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F, types as T
 
 NULL_SPREAD = 1024
@@ -56,3 +58,18 @@ def orphans(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> Dat
             .agg(F.count(F.lit(1)).alias("fact_rows")))
     known = dim.select(F.col(dim_key).alias("orphan_key"))
     return used.join(known, "orphan_key", "left_anti")
+
+
+def broken_references(fact: DataFrame, references: dict[str, tuple[str, DataFrame, str]]) -> DataFrame:
+    """(relation, orphan_key, fact_rows): keys of the fact that the table they point to lacks, for all its foreign keys.
+
+    ``references``: name, (column of the fact, table, its key column). The fact is read once, whatever the number of keys: each
+    row yields one pair (relation, key) a reference, the pairs are counted with a combine in every map task, and what is
+    left is anti-joined with the keys of all tables together. NULL keys point nowhere and are not broken.
+    """
+    pairs = F.array(*[F.struct(F.lit(name).alias("relation"), F.col(column).cast("string").alias("orphan_key"))
+                      for name, (column, _, _) in references.items()])
+    used = (fact.select(F.inline(pairs)).where(F.col("orphan_key").isNotNull())
+            .groupBy("relation", "orphan_key").agg(F.count(F.lit(1)).alias("fact_rows")))
+    known = [table.select(F.lit(name).alias("relation"), F.col(key).cast("string").alias("orphan_key")) for name, (_, table, key) in references.items()]
+    return used.join(reduce(DataFrame.unionByName, known), ["relation", "orphan_key"], "left_anti")

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.contracts import OPEN_END
 from tidemark.functions import instant_micros, is_open, ntz, surrogate_key
-from tidemark.operators.hotkeys import HOT_ROWS, SLICE, hot_keys, with_next, with_slice
+from tidemark.operators.hotkeys import SLICE, carried_in, hot_keys, with_next, with_slice
 from tidemark.operators.ranges import starts_inside
 
 
 def scd2(versions: DataFrame, key: str, ts: str, surrogate: str = "customer_key",
-         natural: str = "customer_natural_key", hot_rows: int = HOT_ROWS) -> DataFrame:
+         natural: str = "customer_natural_key", hot_rows: int | None = None) -> DataFrame:
     """Turn versions into validity intervals ``[valid_from, valid_to)``.
 
     ``valid_to`` is the next version's instant, or the open-end sentinel for the version in
@@ -44,7 +44,7 @@ def scd2_as_of(dim: DataFrame, instant: str) -> DataFrame:
 
 def scd2_asof_join(fact: DataFrame, dim: DataFrame, key: str, ts: str, take: list[str],
                    dim_key: str = "customer_natural_key", strategy: str = "merge",
-                   hot_rows: int = HOT_ROWS) -> DataFrame:
+                   hot_rows: int | None = None) -> DataFrame:
     """Add to every fact row the attributes ``take`` of the version in force at its instant.
 
     In force is, of the versions whose interval covers the instant, the one that starts last; of
@@ -58,16 +58,14 @@ def scd2_asof_join(fact: DataFrame, dim: DataFrame, key: str, ts: str, take: lis
     """
     history = dim.select(F.col(dim_key).alias("_k"), "valid_from",
                          F.coalesce("valid_to", ntz(OPEN_END)).alias("valid_to"), *take).where(F.col("_k").isNotNull())
-    instants = (fact.select(F.col(key).alias("_k"), F.col(ts).alias("_t"))
-                .where(F.col("_k").isNotNull() & F.col("_t").isNotNull()).distinct())
     if strategy == "search":
-        states = _covering(instants, history, take)
-    elif strategy == "merge":
-        states = _merge_asof(instants, history, take, hot_rows)
-    else:
-        raise ValueError(f"strategy must be merge or search, not {strategy!r}")
-    same = (F.col(key) == F.col("_k")) & (F.col(ts) == F.col("_t"))
-    return fact.join(states, same, "left").drop("_k", "_t")
+        instants = (fact.select(F.col(key).alias("_k"), F.col(ts).alias("_t"))
+                    .where(F.col("_k").isNotNull() & F.col("_t").isNotNull()).distinct())
+        same = (F.col(key) == F.col("_k")) & (F.col(ts) == F.col("_t"))
+        return fact.join(_covering(instants, history, take), same, "left").drop("_k", "_t")
+    if strategy == "merge":
+        return _merge_asof(fact, history, key, ts, take, hot_rows)
+    raise ValueError(f"strategy must be merge or search, not {strategy!r}")
 
 
 def _covering(instants: DataFrame, history: DataFrame, take: list[str]) -> DataFrame:
@@ -79,55 +77,67 @@ def _covering(instants: DataFrame, history: DataFrame, take: list[str]) -> DataF
             .select("_k", "_t", *[F.col(f"_best.take.{c}").alias(c) for c in take]))
 
 
-def _merge_asof(instants: DataFrame, history: DataFrame, take: list[str], hot_rows: int) -> DataFrame:
-    """The version in force for each (key, instant), by one pass over both in order of time.
+def _merge_asof(fact: DataFrame, history: DataFrame, key: str, ts: str, take: list[str], hot_rows: int | None) -> DataFrame:
+    """The fact rows with the version in force, by one pass over both in order of time.
 
-    The version that started last is the answer where it covers the instant. Where it has ended
-    already, an earlier one may still be in force, but only in a key of which some version starts
-    before an earlier one ends; those few instants and keys are searched.
+    Fact rows travel through the window themselves: each side is shuffled once, and nothing is joined back. The version that
+    started last is the answer where it covers the instant. Where it has ended already, an earlier one may still be in force,
+    but only if the latest end of all versions so far lies beyond the instant; those few rows are searched.
     """
-    version = F.struct("valid_to", *take)
-    starts = history.select("_k", F.col("valid_from").alias("_t"), version.alias("_version"))
-    events = (starts.withColumn("_kind", F.lit(1))
-              .unionByName(instants.withColumn("_kind", F.lit(2)), allowMissingColumns=True))
-
+    version, row = F.struct("valid_to", *take), F.struct(*[F.col(c) for c in fact.columns])
+    usable = F.col(key).isNotNull() & F.col(ts).isNotNull()
+    kind = history.schema["_k"].dataType
+    starts = history.select("_k", F.col("valid_from").alias("_t"), F.lit(1).alias("_kind"), version.alias("_version"), F.col("valid_to").alias("_end"))
+    facts = fact.where(usable).select(F.col(key).cast(kind).alias("_k"), F.col(ts).alias("_t"), F.lit(2).alias("_kind"), row.alias("_row"))
+    events = starts.unionByName(facts, allowMissingColumns=True)
     groups = ["_k"]
     hot = hot_keys(events, "_k", "_t", hot_rows)
     if hot is not None:
         groups = ["_k", SLICE]
-        events = with_slice(events, "_k", "_t", hot).unionByName(_carried_in(events, hot))
+        events = with_slice(events, "_k", "_t", hot)
+        begun = F.when(F.col("_kind") == 1, F.struct("_t", "_version"))
+        before = carried_in(events.where(F.col(SLICE).isNotNull()), "_k", {"_last": begun, "_end": F.col("_end")})
+        events = events.unionByName(before.where(F.col("_last").isNotNull()).select(
+            "_k", SLICE, "_last._t", "_last._version", "_end", F.lit(1).alias("_kind")), allowMissingColumns=True)
     upto = (Window.partitionBy(*groups).orderBy("_t", "_kind", F.col("_version"))
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    seen = (events.withColumn("_state", F.last("_version", ignorenulls=True).over(upto))
-            .where((F.col("_kind") == 2) & F.col("_state").isNotNull()))
-    covered = F.col("_t") < F.col("_state.valid_to")
-    found = seen.where(covered).select("_k", "_t", *[F.col(f"_state.{c}").alias(c) for c in take])
-    ended = seen.where(~covered).select("_k", "_t")
-    damaged = history.join(_overlapping_keys(history, hot_rows), "_k", "left_semi").select("_k", "valid_from", "valid_to", *take)
-    return found.unionByName(_covering(ended, damaged, take))
-
-
-def _overlapping_keys(history: DataFrame, hot_rows: int) -> DataFrame:
-    """Keys in which a version starts before its predecessor in time has ended."""
-    rows = history.select("_k", "valid_from", "valid_to").where("valid_from < valid_to").distinct()
-    chained = with_next(rows, "_k", "valid_from", "_next", ["valid_to"], hot_rows)
-    return chained.where(F.col("_next") < F.col("valid_to")).select("_k").distinct()
-
-
-def _carried_in(events: DataFrame, hot: DataFrame) -> DataFrame:
-    """The version a hot key is in at the start of each slice: the last one of earlier slices."""
-    started = F.when(F.col("_kind") == 1,
-                     F.struct("_t", "_version"))
-    slices = (with_slice(events, "_k", "_t", hot, "inner")
-              .groupBy("_k", SLICE).agg(F.max(started).alias("_last")))
-    earlier = Window.partitionBy("_k").orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    return (slices.withColumn("_in", F.last("_last", ignorenulls=True).over(earlier))
-            .where(F.col("_in").isNotNull())
-            .select("_k", SLICE, "_in._t", "_in._version", F.lit(1).alias("_kind")))
+    seen = (events.withColumn("_state", F.last("_version", ignorenulls=True).over(upto)).withColumn("_until", F.max("_end").over(upto))
+            .where(F.col("_kind") == 2))
+    covered = F.coalesce(F.col("_t") < F.col("_state.valid_to"), F.lit(False))
+    open_ = F.coalesce(~covered & (F.col("_t") < F.col("_until")), F.lit(False))
+    done = seen.where(~open_).select("_row.*", *[F.when(covered, F.col(f"_state.{c}")).alias(c) for c in take])
+    left = seen.where(open_).select("_k", "_t", "_row")
+    found = _covering(left.select("_k", "_t").distinct(), history, take).withColumnsRenamed({"_k": "_fk", "_t": "_ft"})
+    searched = left.join(found, (F.col("_k") == F.col("_fk")) & (F.col("_t") == F.col("_ft")), "left").select("_row.*", *take)
+    without = fact.where(~usable).select("*", *[F.lit(None).cast(history.schema[c].dataType).alias(c) for c in take])
+    return done.unionByName(searched).unionByName(without)
+
+
+def scd2_overlapping(dim: DataFrame, key: str = "customer_natural_key", surrogate: str = "customer_key",
+                     hot_rows: int | None = None) -> DataFrame:
+    """Versions that begin before an earlier one of their key has ended, with that end; empty when healthy.
+
+    The latest end so far is carried along each key in order of time: a row for each version at most, however many
+    overlap. :func:`scd2_overlaps` lists the pairs.
+    """
+    rows = dim.select(key, surrogate, "valid_from", F.coalesce("valid_to", ntz(OPEN_END)).alias("valid_to")).where(F.col(key).isNotNull())
+    groups, hot = [key], hot_keys(rows, key, "valid_from", hot_rows)
+    rows = rows.withColumn("_real", F.lit(1))
+    if hot is not None:
+        groups = [key, SLICE]
+        rows = with_slice(rows, key, "valid_from", hot)
+        before = carried_in(rows.where(F.col(SLICE).isNotNull()), key, {"valid_to": F.col("valid_to")})
+        rows = rows.unionByName(before.where(F.col("valid_to").isNotNull()).withColumn("_real", F.lit(0)), allowMissingColumns=True)
+    # The row that stands for earlier slices has no start and sorts first.
+    earlier = (Window.partitionBy(*groups).orderBy("_real", F.col("valid_from").asc_nulls_first(), "valid_to", surrogate)
+               .rowsBetween(Window.unboundedPreceding, -1))
+    return (rows.withColumn("covered_until", F.max("valid_to").over(earlier))
+            .where((F.col("_real") == 1) & (F.col("covered_until") > F.col("valid_from")))
+            .select(key, surrogate, "valid_from", "valid_to", "covered_until"))
 
 
 def scd2_overlaps(dim: DataFrame, key: str = "customer_natural_key",
-                  surrogate: str = "customer_key", hot_rows: int = HOT_ROWS) -> DataFrame:
+                  surrogate: str = "customer_key", hot_rows: int | None = None) -> DataFrame:
     """Pairs of rows of one key whose intervals overlap, in both orders; empty when healthy.
 
     Rows are told apart by identity, not by surrogate key, so a version loaded twice is
@@ -175,4 +185,4 @@ def multi_version_keys(versions: DataFrame, key: str) -> DataFrame:
 
 
 __all__ = ["is_open", "multi_version_keys", "scd2", "scd2_as_of", "scd2_asof_join",
-           "scd2_current", "scd2_overlaps"]
+           "scd2_current", "scd2_overlapping", "scd2_overlaps"]

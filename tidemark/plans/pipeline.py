@@ -10,13 +10,15 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.operators import dimensions, facts, silver
-from tidemark.operators.incremental import Folder, by_month, incremental
-from tidemark.operators.scd2 import scd2_overlaps
+from tidemark.operators.incremental import Folder, by_month
+from tidemark.operators.lookup import broken_references
+from tidemark.operators.scd2 import scd2_overlapping
 from tidemark.quality.rules import Rule
 from tidemark.quality.suites import (QualityGateError, bronze_customers, bronze_transactions,
                                      checkpoint, mislabelled_alerts, negative_amounts,
                                      silver_transactions, table_tests)
 from tidemark.sources.landing import load_bronze, new_batch_id, read_layer, save_table, write_bronze
+from tidemark.sources.versioned import VersionedTable, bring_up_to_date
 
 log = logging.getLogger(__name__)
 
@@ -67,14 +69,15 @@ def run_pipeline(spark: SparkSession, root: str, feeds: dict[str, str], as_of: s
                  batch_id: str | None = None, mode: str = "append",
                  suites: dict[str, list[Rule]] | None = None,
                  full_refresh: bool = False, register: bool = False,
-                 run_time: str | None = None) -> dict[str, DataFrame]:
+                 run_time: str | None = None, keep_versions: int = 5) -> dict[str, DataFrame]:
     """Run every layer below ``root``; returns all tables.
 
     ``feeds`` maps raw table names to CSV paths. A batch is landed beside bronze, passes the gate
     there, and only then becomes part of bronze; a refused batch leaves no row behind, and a batch id
     that comes again replaces what it brought. A failed gate or test raises and nothing after it
     runs. Results carry the time the run really started (or ``run_time``), so that two runs of one
-    day are told apart. The fact is brought up to date incrementally unless ``full_refresh``.
+    day are told apart. The fact is a versioned table: batches that its ledger lacks are merged in, or all with
+    ``full_refresh``, and readers keep the version they opened; the newest ``keep_versions`` stay.
     ``register`` also creates a temporary view per table for SQL users.
     """
     batch_id = batch_id or new_batch_id()
@@ -104,12 +107,11 @@ def run_pipeline(spark: SparkSession, root: str, feeds: dict[str, str], as_of: s
         inputs = [tables[n] for n in model.needs]
         if name == "fact_transactions":
             transactions, *dims = inputs
-            path = f"{root}/gold/{name}"
-            incremental(spark, path, transactions,
-                        lambda t, d=dims: by_month(model.build(t, *d), "transaction_date"),
-                        "transaction_id", "created_at", "transaction_month",
-                        full_refresh=full_refresh)
-            tables[name] = spark.read.parquet(path)
+            fact = VersionedTable(spark, f"{root}/gold/{name}", "transaction_id", "created_at", "transaction_month")
+            bring_up_to_date(fact, transactions, lambda t, d=dims: by_month(model.build(t, *d), "transaction_date"),
+                             replay={batch_id}, full_refresh=full_refresh)
+            fact.vacuum(keep_versions)
+            tables[name] = fact.read()
             continue
         built = model.build(*inputs, as_of) if model.dated else model.build(*inputs)
         tables[name] = save_table(built, root, model.layer, name) if model.stored else built
@@ -131,7 +133,11 @@ def run_tests(tables: dict[str, DataFrame], run_time: str) -> DataFrame:
     done = checkpoint(tests, run_time)
     must_be_empty = {
         "no negative amounts": negative_amounts(tables["fact_transactions"]),
-        "no overlapping versions": scd2_overlaps(tables["dim_customer"]),
+        "no overlapping versions": scd2_overlapping(tables["dim_customer"]),
+        "no keys without a dimension row": broken_references(tables["fact_transactions"], {
+            "customer": ("customer_key", tables["dim_customer"], "customer_key"),
+            "account": ("account_key", tables["dim_account"], "account_key"),
+            "product": ("product_key", tables["dim_product"], "product_key")}),
         "no mislabelled alerts": mislabelled_alerts(tables["fact_fraud_alerts"]),
     }
     broken = [{"suite": "singular", "rule": name, "column_name": None}
