@@ -781,7 +781,7 @@ def channels_run(s):
     codes = F.map_from_entries(F.collect_list(F.struct(F.col("mcc").cast("string"), "mcc_category")))
     s.raw("mcc").agg(F.to_json(codes).alias("value")).write.text(feeds["mcc"])
     rules = {"card_transactions": [quality.Rule("not_null", "id")], "money_transactions": [quality.Rule("not_null", "step")]}
-    tables = channel_run.run_channels(s.spark, scratch_dir(s.spark, "channels"), feeds, "b0", rules, CALENDAR)
+    tables = channel_run.run_channels(s.spark, scratch_dir(s.spark, "channels"), feeds, "b0", rules, CALENDAR, labels_by_line=True)
     return tables["fact_unified_transactions"].drop("transaction_month", "_batch_id")
 
 

@@ -634,7 +634,8 @@ union all select 2, transaction_id, cast(amount as double) from fact""")
 ORACLES["upsert_key_index"] = ORACLES["upsert_corrections"]
 _UNIFIED_TEXT = ", ".join(f"cast({c} as varchar) as {c}" for c in (HARMONIZED[1] + " date_key").split())
 _UNIFIED_MONEY = ", ".join(f"cast({c} as double) as {c}" for c in (HARMONIZED[0] + " balance_delta").split())
-ORACLES["incremental_unified"] = _sql(f"select * exclude (_batch_id) replace ({_UNIFIED_TEXT}, {_UNIFIED_MONEY}) from unified")
+ORACLES["incremental_unified"] = _sql(f"""select * exclude (_batch_id) replace ({_UNIFIED_TEXT}, {_UNIFIED_MONEY})
+  from unified qualify row_number() over (partition by transaction_id order by txn_timestamp desc) = 1""")
 ORACLES["channels_run"] = ORACLES["incremental_unified"]
 ORACLES["pipeline_run"] = _sql(f"""select * exclude (_batch_id) replace ({", ".join(f"cast({c} as double) as {c}" for c in FACT_MONEY.split())},
   {", ".join(f"cast({c} as varchar) as {c}" for c in FACT_TEXT.split())}) from fact""")
