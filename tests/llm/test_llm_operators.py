@@ -249,6 +249,21 @@ def test_cut_keeps_the_rest(docs, empty, odd):
     assert sorted(str(r["text"]) for r in substrings.cut(odd, 3).collect()) == sorted(str(r["text"]) for r in odd.collect())
 
 
+def test_one_id_at_different_texts(spark):
+    """Two texts under one doc_id share no places, and no name of a user's column is taken."""
+    long, tail = " ".join(f"w{i}" for i in range(60)), " ".join(f"t{i}" for i in range(40))
+    table = [(1, long), (2, tail + " " + long), (2, "short text here"), (3, "tail"), (3, long + " " + tail), (3, long + " " + tail), (None, long)]
+    for order in (table, table[::-1]):
+        got = substrings.removal_digests(spark.createDataFrame(order, "doc_id long, text string"), 13).collect()
+        assert len(got) == len(table) and all(r["n_removed"] <= r["n_words"] for r in got)
+        assert {r["n_removed"] for r in got if r["doc_id"] in (1, None)} == {0}
+        removed = sorted((r["doc_id"], r["n_words"], r["n_removed"]) for r in got if r["doc_id"] in (2, 3))
+        assert removed.count((2, 3, 0)) == 1 and (2, 100, 60) in removed or (2, 100, 0) in removed
+    clash = spark.createDataFrame([(1, long, "a", "b", "c"), (2, long, "d", "e", "f")], "doc_id long, text string, __of string, __spans string, keep string")
+    kept = {r["doc_id"]: r for r in substrings.cut(clash, 13).collect()}
+    assert kept[2]["text"] == "" and kept[1]["text"] == long and (kept[2]["__of"], kept[2]["__spans"], kept[2]["keep"]) == ("d", "e", "f")
+
+
 # --- quality ---
 
 def test_trees_flattened_and_walked():

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import gc
+
+from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.session import scratch_dir
 
@@ -14,7 +16,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discard(spark, folder: str) -> None:
+def discard(spark: SparkSession, folder: str) -> None:
     """Deletes a folder that scratch_dir() named, once nothing reads it any more."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def forget_shuffles(spark: SparkSession) -> None:
+    """Lets Spark's cleaner delete the shuffle files of queries that are over: it follows the driver's garbage collection."""
+    gc.collect()
+    spark._jvm.System.gc()

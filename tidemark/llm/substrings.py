@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tidemark.llm.scratch import forget_shuffles, stored
 from tidemark.llm.words import Words, chunks, grams, mix, within
 
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
@@ -247,23 +248,24 @@ def _window_rows(window: int):
 
 
 def _marked(spans: pa.Array, first: np.ndarray, n: int) -> np.ndarray:
-    """Flags of the words (of all texts in a row) at which the texts' packed stretches lie."""
+    """Flags of the words (of all texts in a row) at which the texts' packed stretches lie; what lies beyond a text is cut off."""
     change = np.zeros(n + 1, np.int64)
     filled = spans.fill_null([]) if spans.null_count else spans
     counts = filled.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
     flat = filled.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
     if len(flat):
         flat = np.where(flat < 0, ~flat, flat)
-        base = np.repeat(first, counts)
-        np.add.at(change, base + (flat >> 31) - 1, 1)
-        np.add.at(change, base + (flat & (1 << 31) - 1), -1)
+        base, limit = np.repeat(first, counts), np.repeat(np.append(first[1:], n), counts)
+        np.add.at(change, np.minimum(base + (flat >> 31) - 1, limit), 1)
+        np.add.at(change, np.minimum(base + (flat & (1 << 31) - 1), limit), -1)
     return np.cumsum(change)[:n] > 0
 
 
 def repeats(texts: DataFrame, window: int) -> DataFrame:
     """(doc_id, spans): for each document the packed stretches of windows whose words also start in a document with a smaller doc_id.
 
-    texts has doc_id and text alone. Rows without a doc_id take no part. Rows of one doc_id aren't repeats of each other.
+    texts has doc_id and text alone. Rows without a doc_id take no part. Rows of one doc_id aren't repeats of each other; if
+    their texts differ, only the text with the smallest hash takes part (see mixed_ids).
 
     1. Recompression names each window by a symbol (see anchors); names in two documents make candidates.
     2. Candidate windows are compared as wholes, by 96 bits of their words; the smallest doc_id owns one.
@@ -275,9 +277,13 @@ def repeats(texts: DataFrame, window: int) -> DataFrame:
     shared = (named.withColumn("low", F.min("doc_id").over(key)).withColumn("high", F.max("doc_id").over(key))
               .filter(f"(span < 0 or low < high) and span != {_NONE}"))
     spans = F.collect_list("span").alias("spans")
-    candidates = shared.groupBy(F.col("doc_id").alias("cand_id")).agg(spans)
+    # Stored: the shuffle of the names, the largest but one, is over before that of the windows begins.
+    candidates = stored(shared.groupBy(F.col("doc_id").alias("cand_id")).agg(spans), "candidates")
+    forget_shuffles(texts.sparkSession)
+    mixed = mixed_ids(texts)
     # A left join, as in with_spans(), so that both read one shuffle of the texts; others are passed over in the tasks.
-    asked = texts.join(candidates, F.col("doc_id") == F.col("cand_id"), "left").select("doc_id", "text", "spans")
+    asked = (texts.join(candidates, F.col("doc_id") == F.col("cand_id"), "left").join(mixed, F.col("doc_id") == F.col("mixed_id"), "left")
+             .select("doc_id", "text", F.when(_takes_part(), F.col("spans")).alias("spans")))
     same = asked.mapInArrow(_window_rows(window), "key long, key2 int, doc_id long, span long, more array<long>")
     owner = Window.partitionBy("key", "key2")
     again = same.withColumn("low", F.min("doc_id").over(owner)).filter("span < 0 or low < doc_id")
@@ -289,9 +295,9 @@ def repeats(texts: DataFrame, window: int) -> DataFrame:
 _NONE = 0
 
 
-def _covered(part: pa.RecordBatch, window: int) -> tuple[Words, np.ndarray]:
+def _covered(part: pa.RecordBatch, window: int, spans: str) -> tuple[Words, np.ndarray]:
     words = Words(part.column("text"))
-    starts = _marked(part.column("__spans"), words.first[:-1], len(words))
+    starts = _marked(part.column(spans), words.first[:-1], len(words))
     at = np.flatnonzero(starts)
     change = np.zeros(len(words) + 1, np.int64)
     np.add.at(change, at, 1)
@@ -299,23 +305,42 @@ def _covered(part: pa.RecordBatch, window: int) -> tuple[Words, np.ndarray]:
     return words, np.cumsum(change)[:-1] > 0
 
 
-def with_spans(docs: DataFrame, window: int) -> DataFrame:
-    """docs with the column __spans: repeats() of each document, null where it has none."""
-    found = repeats(docs.select("doc_id", "text"), window).select(F.col("doc_id").alias("__of"), F.col("spans").alias("__spans"))
-    return docs.join(found, F.col("doc_id") == F.col("__of"), "left").drop("__of")
+def mixed_ids(texts: DataFrame) -> DataFrame:
+    """(mixed_id, keep): the doc_ids that stand at different texts, and the hash of the one text that counts for each."""
+    print_ = F.xxhash64("text")
+    return (texts.filter("doc_id is not null").groupBy(F.col("doc_id").alias("mixed_id"))
+            .agg(F.min(print_).alias("keep"), F.max(print_).alias("last")).filter("keep < last").drop("last"))
+
+
+def _takes_part():
+    return F.col("keep").isNull() | (F.xxhash64("text") == F.col("keep"))
+
+
+def with_spans(docs: DataFrame, window: int) -> tuple[DataFrame, str]:
+    """docs with one more column, and its name: the spans that repeats() finds in each document, null where it finds none."""
+    texts = docs.select("doc_id", "text")
+    name = "__spans"
+    while name in docs.columns:
+        name += "_"
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text")
+    found = repeats(texts, window).select(F.col("doc_id").alias("of"), "spans")
+    joined = rows.join(found, F.col("doc_id") == F.col("of"), "left").join(mixed_ids(texts), F.col("doc_id") == F.col("mixed_id"), "left")
+    return joined.select("row.*", F.when(_takes_part(), F.col("spans")).alias(name)), name
 
 
 def removal_digests(docs: DataFrame, window: int = 13) -> DataFrame:
     """For each document the number of its words, of those that repeats cover, and the sha256 of the words kept.
 
-    A null text has no words, nor has an empty one; a row without a doc_id loses nothing. Rows that repeat a doc_id with
-    different texts share their spans' places and should not occur.
+    A null text has no words, nor has an empty one; a row without a doc_id loses nothing. Rows that repeat a doc_id with one
+    text have one result each, the same; of rows that repeat it with different texts, those with one of them (the
+    smallest hash) take part, the others lose nothing and own nothing.
     """
+    marked, spans = with_spans(docs.select("doc_id", "text"), window)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text"):
-                words, gone = _covered(part, window)
+                words, gone = _covered(part, window, spans)
                 data = words.raw.tobytes()
                 starts, ends = words.starts.tolist(), words.ends.tolist()
                 digests, removed = [], []
@@ -327,24 +352,25 @@ def removal_digests(docs: DataFrame, window: int = 13) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(words.counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(digests, pa.string())],
                                                  ["doc_id", "n_words", "n_removed", "kept_sha256"])
 
-    return (with_spans(docs.select("doc_id", "text"), window)
-            .mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string"))
+    return marked.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def cut(docs: DataFrame, window: int) -> DataFrame:
     """docs with the words that repeats cover taken out of text, each with the separators after it, and n_chars to match.
 
     Texts without such words stay as they are, character by character. A document that is all repeat keeps an empty text.
+    Nulls and rows that lack or repeat a doc_id are as in removal_digests(); other columns may have any name.
     """
     from pyspark.sql import types as T
 
     names = docs.columns
+    marked, spans = with_spans(docs, window)
     schema = T.StructType(list(docs.schema.fields))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, "text"):
-                words, gone = _covered(part, window)
+                words, gone = _covered(part, window, spans)
                 texts = part.column("text").to_pylist()
                 data = words.raw.tobytes()
                 for i in np.flatnonzero(np.bincount(words.text[gone], minlength=words.n_texts)):
@@ -359,4 +385,4 @@ def cut(docs: DataFrame, window: int) -> DataFrame:
                     columns["n_chars"] = pa.array([None if t is None else len(t) for t in texts], part.column("n_chars").type)
                 yield pa.RecordBatch.from_arrays(list(columns.values()), names)
 
-    return with_spans(docs, window).select(*names, "__spans").mapInArrow(run, schema)
+    return marked.mapInArrow(run, schema)
