@@ -153,11 +153,11 @@ def rank(docs: DataFrame, items: DataFrame, k: int = 50) -> DataFrame:
     lists = index.where("term is not null").join(asked.select("term").distinct(), "term", "left_semi")
     df = lists.groupBy("term").agg(F.sum("df").alias("df"))
     group = F.pmod(F.xxhash64("item_id"), F.lit(groups)).cast("int").alias("part")
-    wanted = (asked.join(df, "term").groupBy("term", group).agg(F.first("df").alias("total"), F.collect_list("item_id").alias("items"))
+    wanted = (asked.join(df, "term").groupBy("term", group).agg(F.first("df").alias("total"), F.collect_list(F.struct("item_id")).alias("items"))
               .select("term", "part", "items", weight(F.lit(n_docs), F.col("total")).alias("w")).where("w > 0"))
     hits = index.drop("df", "doc_ids").join(wanted, "term").select("part", "block", "w", "items", "places", "counts", F.lit(None).cast(f"array<{kind}>").alias("doc_ids"))
     tops = heads.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("part"), "block", F.lit(None).cast("long").alias("w"),
-                        F.lit(None).cast(f"array<{key}>").alias("items"), "places", "counts", "doc_ids")
+                        F.lit(None).cast(f"array<struct<item_id:{key}>>").alias("items"), "places", "counts", "doc_ids")
 
     def search(table: pa.Table) -> pa.Table:
         heading = table.filter(pc.is_null(table.column("w")))
@@ -175,15 +175,15 @@ def rank(docs: DataFrame, items: DataFrame, k: int = 50) -> DataFrame:
             gain = w * impacts(counts.values.to_numpy(), n[place], n_docs, n_terms)
             down = np.argsort(-gain, kind="stable")
             ready = (place[down], gain[down])
-            for item in named:
-                of.setdefault(item, []).append(ready)
+            for item in named:  # structs, as a list drops bare nulls
+                of.setdefault(item["item_id"], []).append(ready)
         out = []
         for item, read in of.items():
             place, score = best(read, len(n), k)
             first = np.lexsort((turn[place], -score))[:k]
             out += [(item, int(place[i]), int(score[i])) for i in first]
         found = pa.array([p for _, p, _ in out], pa.int64())
-        return pa.table([pa.array([i for i, _, _ in out], table.schema.field("items").type.value_type), ids.take(found), pa.array([s for _, _, s in out], pa.int64())],
+        return pa.table([pa.array([i for i, _, _ in out], table.schema.field("items").type.value_type.field("item_id").type), ids.take(found), pa.array([s for _, _, s in out], pa.int64())],
                         ["item_id", "doc_id", "score"])
 
     ranked = hits.unionByName(tops).groupBy("part", "block").applyInArrow(search, f"item_id {key}, doc_id {kind}, score long")
