@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidemark.llm.scratch import forget_shuffles, stored
+from tidemark.llm.scratch import stored_and_tidied
 from tidemark.llm.words import Words, chunks, grams, mix, within
 
 _K = [np.uint64(k) for k in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
@@ -277,13 +277,12 @@ def repeats(texts: DataFrame, window: int) -> DataFrame:
     shared = (named.withColumn("low", F.min("doc_id").over(key)).withColumn("high", F.max("doc_id").over(key))
               .filter(f"(span < 0 or low < high) and span != {_NONE}"))
     spans = F.collect_list("span").alias("spans")
-    # Stored: the shuffle of the names, the largest but one, is over before that of the windows begins.
-    candidates = stored(shared.groupBy(F.col("doc_id").alias("cand_id")).agg(spans), "candidates")
-    forget_shuffles(texts.sparkSession)
+    # Stored: the shuffle of the names, the largest but one, is gone before that of the windows begins.
+    candidates = stored_and_tidied(shared.groupBy(F.col("doc_id").alias("cand_id")).agg(spans), "candidates")
     mixed = mixed_ids(texts)
     # A left join, as in with_spans(), so that both read one shuffle of the texts; others are passed over in the tasks.
     asked = (texts.join(candidates, F.col("doc_id") == F.col("cand_id"), "left").join(mixed, F.col("doc_id") == F.col("mixed_id"), "left")
-             .select("doc_id", "text", F.when(_takes_part(), F.col("spans")).alias("spans")))
+             .select("doc_id", "text", F.when(_takes_part("keep"), F.col("spans")).alias("spans")))
     same = asked.mapInArrow(_window_rows(window), "key long, key2 int, doc_id long, span long, more array<long>")
     owner = Window.partitionBy("key", "key2")
     again = same.withColumn("low", F.min("doc_id").over(owner)).filter("span < 0 or low < doc_id")
@@ -312,20 +311,21 @@ def mixed_ids(texts: DataFrame) -> DataFrame:
             .agg(F.min(print_).alias("keep"), F.max(print_).alias("last")).filter("keep < last").drop("last"))
 
 
-def _takes_part():
-    return F.col("keep").isNull() | (F.xxhash64("text") == F.col("keep"))
+def _takes_part(keep: str):
+    return F.col(keep).isNull() | (F.xxhash64("text") == F.col(keep))
 
 
 def with_spans(docs: DataFrame, window: int) -> tuple[DataFrame, str]:
     """docs with one more column, and its name: the spans that repeats() finds in each document, null where it finds none."""
     texts = docs.select("doc_id", "text")
-    name = "__spans"
-    while name in docs.columns:
-        name += "_"
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", "text")
-    found = repeats(texts, window).select(F.col("doc_id").alias("of"), "spans")
-    joined = rows.join(found, F.col("doc_id") == F.col("of"), "left").join(mixed_ids(texts), F.col("doc_id") == F.col("mixed_id"), "left")
-    return joined.select("row.*", F.when(_takes_part(), F.col("spans")).alias(name)), name
+    tail = "_"
+    while any(f"{c}{tail}" in docs.columns for c in ("of", "spans", "mixed", "keep")):
+        tail += "_"
+    of, spans, mixed, keep = (f"{c}{tail}" for c in ("of", "spans", "mixed", "keep"))
+    found = repeats(texts, window).select(F.col("doc_id").alias(of), F.col("spans").alias(spans))
+    marks = mixed_ids(texts).select(F.col("mixed_id").alias(mixed), F.col("keep").alias(keep))
+    joined = docs.join(found, F.col("doc_id") == F.col(of), "left").join(marks, F.col("doc_id") == F.col(mixed), "left")
+    return joined.withColumn(spans, F.when(_takes_part(keep), F.col(spans))).select(*docs.columns, spans), spans
 
 
 def removal_digests(docs: DataFrame, window: int = 13) -> DataFrame:
