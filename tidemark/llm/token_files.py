@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -15,11 +16,13 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.scratch import discard
-from tidemark.llm.words import binary, chunks, hash_pieces
+from tidemark.llm.words import binary, chunks
 from tidemark.session import scratch_dir
 
-#: Pre-tokens of which a worker remembers the ids, in some 30 bytes each.
-CACHED = 2_000_000
+#: Bytes of pre-tokens and ids that a worker remembers; the memory starts anew beyond.
+REMEMBERED_BYTES = 48 << 20
+#: Bytes of text that a worker encodes at once; a longer text is cut where no pre-token lies across.
+CHUNK_BYTES = 512 << 10
 # For each control byte: how long each of its four codes is.
 _LENGTHS = np.array([[(c >> 2 * i & 3) + 1 for i in range(4)] for c in range(256)], np.int64)
 
@@ -112,13 +115,30 @@ def pre_tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return data, np.diff(np.append(begin, len(data))), np.diff(np.searchsorted(begin, offsets))
 
 
+# A space after one of these letters or digits starts a pre-token, and the one before it ends there.
+_CUT = regex.compile("(?<=[A-Za-z0-9]) ")
+
+
+def parts_of(text: str, limit: int) -> list[str]:
+    """text in parts of about limit characters, cut only between pre-tokens; a longer part where there is no such place."""
+    parts, begin = [], 0
+    while len(text) - begin > limit:
+        found = _CUT.search(text, begin + limit)
+        if not found:
+            break
+        parts.append(text[begin : found.start()])
+        begin = found.start()
+    return [*parts, text[begin:]]
+
+
 class Encoder:
     """The tokenizers library behind a memory of pre-tokens: each new one is encoded by the library once for each worker.
 
-    Byte-level BPE merges within a pre-token alone, so a text's ids are those of its pre-tokens one after the other. The
-    memory is arrays: sorted 64-bit hashes of pre-tokens, and where their ids lie; it starts anew at CACHED entries.
+    Byte-level BPE merges within a pre-token alone, so a text's ids are those of its pre-tokens one after the other.
+    The memory is keyed by the pre-tokens' bytes and starts anew beyond REMEMBERED_BYTES.
     The file's added tokens are found in texts first, as by the library; what lies between them is a text of its own.
-    A file whose added tokens want whole words or take white space along is refused.
+    Refused with a ValueError: files whose added tokens want whole words or take white space along, and files with a
+    normalizer, a space put before texts, or another way to cut pre-tokens than the byte-level pattern.
     """
 
     def __init__(self, tokenizer_file: str):
@@ -127,6 +147,10 @@ class Encoder:
 
         library = Tokenizer.from_file(tokenizer_file)
         self.model = library.model
+        held = json.loads(library.to_str())
+        cut = held["pre_tokenizer"] or {}
+        if held["normalizer"] or cut.get("type") != "ByteLevel" or cut.get("add_prefix_space") or not cut.get("use_regex", True):
+            raise ValueError(f"{tokenizer_file}: only byte-level pre-tokens without normalizer and without a space before texts")
         added = library.get_added_tokens_decoder()
         if any(t.single_word or t.lstrip or t.rstrip for t in added.values()):
             raise ValueError(f"{tokenizer_file}: added tokens with single_word, lstrip or rstrip")
@@ -139,49 +163,68 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.keys, self.where, self.size = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.int32)
-
-    def _learn(self, keys: np.ndarray, pieces: list[bytes]) -> None:
-        tokens = self.model.tokenize
-        found = [[t.id for t in tokens(p.decode("latin-1").translate(self.letters))] for p in pieces]
-        size = np.array([len(f) for f in found], np.int64)
-        where = len(self.ids) + np.cumsum(size) - size
-        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), np.int32, int(size.sum()))])
-        slot = np.searchsorted(self.keys, keys)
-        self.keys, self.where, self.size = np.insert(self.keys, slot, keys), np.insert(self.where, slot, where), np.insert(self.size, slot, size)
-
-    def _place(self, keys: np.ndarray) -> np.ndarray:
-        slot = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
-        return np.where(self.keys[slot] == keys, slot, -1) if len(self.keys) else np.full(len(keys), -1)
+        self.slot: dict[bytes, int] = {}
+        self.begin, self.size, self.known = array("q"), array("i"), array("i")
+        self.held = 0
+
+    def _learn(self, pieces: list[bytes]) -> None:
+        tokens, letters = self.model.tokenize, self.letters
+        for piece in pieces:
+            ids = [t.id for t in tokens(piece.decode("latin-1").translate(letters))]
+            self.slot[piece] = len(self.begin)
+            self.begin.append(len(self.known))
+            self.size.append(len(ids))
+            self.known.extend(ids)
+            self.held += len(piece) + 4 * len(ids) + 150
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and how many each has."""
-        if not any(pc.any(pc.match_substring(texts, t)).as_py() for t in self.added):
+        longest = pc.max(pc.binary_length(texts.cast(pa.large_binary()))).as_py() or 0
+        if longest <= CHUNK_BYTES and not any(pc.any(pc.match_substring(texts, t)).as_py() for t in self.added):
             return self._between(texts)
-        parts = [self.cut.split(t or "") for t in texts.to_pylist()]  # what lies between and tokens in turn
-        flat, counts = self._between(pa.array([b for p in parts for b in p[::2]], pa.large_string()))
-        n = np.array([len(p) // 2 for p in parts], np.int64)
-        last = np.cumsum(n + 1) - 1
-        flat = np.insert(flat, np.delete(np.cumsum(counts), last), [self.added[t] for p in parts for t in p[1::2]])
-        return flat, np.add.reduceat(counts, last - n) + n
+        # What lies between added tokens, in parts, and the added tokens themselves.
+        plain, runs, marks, owner = [], [], [], []
+        for i, text in enumerate(texts.to_pylist()):
+            for k, part in enumerate(self.cut.split(text or "")):
+                owner.append(i)
+                marks.append(self.added[part] if k % 2 else -1)
+                runs.append(0 if k % 2 else len(found := parts_of(part, CHUNK_BYTES)))
+                plain += [] if k % 2 else found
+        flats, sizes = [], []
+        first = 0
+        while first < len(plain):
+            last, total = first, 0
+            while last < len(plain) and (last == first or total + len(plain[last]) <= CHUNK_BYTES):
+                total += len(plain[last])
+                last += 1
+            flat, counts = self._between(pa.array(plain[first:last], pa.large_string()))
+            flats.append(flat)
+            sizes.append(counts)
+            first = last
+        flat = np.concatenate(flats) if flats else np.zeros(0, np.int32)
+        ends = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]) if sizes else np.zeros(1, np.int64)
+        stops = ends[np.cumsum(runs)]  # ids before the end of each stretch of text
+        marks, owner = np.array(marks), np.array(owner)
+        special = marks >= 0
+        flat = np.insert(flat, stops[special], marks[special])
+        lengths = np.diff(np.concatenate([[0], stops])) + special
+        return flat, np.bincount(owner, weights=lengths, minlength=len(texts)).astype(np.int64)
 
     def _between(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """encode() for texts without added tokens."""
         data, lengths, counts = pre_tokens(texts)
-        keys, first, code = np.unique(hash_pieces(data, lengths), return_index=True, return_inverse=True)
-        missing = np.flatnonzero(self._place(keys) < 0)
-        if len(self.keys) + len(missing) > CACHED:
+        if not len(lengths):
+            return np.zeros(0, np.int32), counts
+        offsets = np.concatenate([np.zeros(1, np.int64), np.cumsum(lengths)])
+        units = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
+        distinct = units.dictionary.to_pylist()
+        if self.held > REMEMBERED_BYTES:
             self._forget()
-            missing = np.arange(len(keys))
-        ends = np.cumsum(lengths)
-        raw = data.tobytes()
-        at = first[missing]
-        self._learn(keys[missing], [raw[b:e] for b, e in zip((ends[at] - lengths[at]).tolist(), ends[at].tolist(), strict=True)])
-        slot = self._place(keys)[code]
-        size = self.size[slot]
+        self._learn([u for u in distinct if u not in self.slot])
+        slots = np.array([self.slot[u] for u in distinct], np.int64)[units.indices.to_numpy()]
+        size = np.frombuffer(self.size, np.int32)[slots].astype(np.int64)
         stop = np.cumsum(size)
-        flat = self.ids[np.repeat(self.where[slot] - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)]
+        flat = np.frombuffer(self.known, np.int32)[np.repeat(np.frombuffer(self.begin, np.int64)[slots] - (stop - size), size) + np.arange(stop[-1])]
         per_text = np.diff(np.concatenate([[0], stop])[np.concatenate([[0], np.cumsum(counts)])])
         return flat, per_text
 
@@ -203,7 +246,7 @@ def encode_in_order(docs: DataFrame, tokenizer_file: str, end_id: int, path: str
 
         part_of, coder, ahead = TaskContext.get().partitionId(), encoder(tokenizer_file), 0
         for batch in batches:
-            for part in chunks(batch, "text"):
+            for part in chunks(batch, "text", CHUNK_BYTES):
                 flat, counts = coder.encode(part.column("text"))
                 flat = np.insert(flat, np.cumsum(counts), end_id).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([
@@ -275,7 +318,10 @@ def write(docs: DataFrame, path: str, tokenizer_file: str, end_id: int = 2, n_id
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) from token files: the checksum is over the document's ids as little-endian 32-bit integers."""
+    """(doc_id, start, n_tokens, ids_crc32) from token files: the checksum is over the document's ids as little-endian 32-bit integers.
+
+    A row for each document written, in no order; rows that repeat a doc_id or lack one each have their own place.
+    """
     order = np.array(spark.read.parquet(f"{path}/ranks").first()["ids"], np.uint32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
