@@ -25,13 +25,18 @@ FEATURES = ["log_bytes", "log_words", *_CLASSES, "word_mean", "word_spread", "sh
             "starts_upper", "all_upper", "ends_in_sign", "entropy"]
 
 
+_STRETCH = 1 << 20
+
+
 def features(column: pa.Array) -> np.ndarray:
     """A row of FEATURES for each text; null and empty texts have zeros throughout."""
     words = Words(column)
     n, data = words.n_texts, words.raw
     sizes = np.diff(words.offsets)
-    owner = np.repeat(np.arange(n), sizes)
-    counts = np.bincount(owner * 256 + data, minlength=n * 256).reshape(n, 256).astype(float)
+    if n == 1:  # a text of any length: counted stretch by stretch
+        counts = sum((np.bincount(data[i : i + _STRETCH], minlength=256) for i in range(0, len(data), _STRETCH)), np.zeros(256)).reshape(1, 256)
+    else:
+        counts = np.bincount(np.repeat(np.arange(n), sizes) * 256 + data, minlength=n * 256).reshape(n, 256).astype(float)
     total, w = np.maximum(sizes, 1).astype(float), np.maximum(words.counts, 1).astype(float)
     out = [np.log1p(sizes), np.log1p(words.counts)]
     out += [counts[:, list(members)].sum(axis=1) / total for members in _CLASSES.values()]
@@ -55,7 +60,7 @@ def features(column: pa.Array) -> np.ndarray:
     for i, name in enumerate(("stop", "upper", "sign", "shout"), 1):
         kind[list(_CLASSES[name])] = i
     start, end = kind[data[words.starts]], kind[data[words.ends - 1]]
-    uppers = np.concatenate([[0], np.cumsum(kind[data] == 2)])
+    uppers = np.concatenate([np.zeros(1, np.int32), np.cumsum(kind[data] == 2, dtype=np.int32)])
     capital = (uppers[words.ends] - uppers[words.starts]) * 2 > lengths
     out += [share(end == 1), share(start == 2), share(capital), share(end >= 3)]
     p = counts / total[:, None]
@@ -86,10 +91,11 @@ class Trees:
 
 
 def fit(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, bins: int = 64, rate: float = 0.15,
-        l2: float = 2.0, least: float = 3.0) -> Trees:
+        l2: float = 1.0, least: float = 1.0) -> Trees:
     """Newton boosting of the logistic loss; splits are sought on histograms of at most `bins` quantile bins a feature.
 
-    Ties in gain go to the lowest feature and cut. Without rows, or with one label only, the score is constant.
+    A leaf needs a second derivative of `least`: no more, or a rare label among few rows never gets a leaf of its own and
+    its scores stay near the common one's. Ties in gain go to the lowest feature and cut. Without rows, or with one label only, the score is constant.
     """
     nodes = 2**depth - 1
     rate_of_1 = (y.sum() + 1) / (len(y) + 2)
@@ -136,7 +142,7 @@ def fold(doc_id: Column, n: int) -> Column:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **settings) -> Trees:
     """Trees from the labelled rows outside fold 0 of 5. Only the bounded sample's features reach the driver.
 
-    A doc_id with several labels counts as 1 if any is 1; null labels and ids, and ids without a document, teach nothing.
+    A doc_id with several labels counts as 1 if any is 1, one with several texts has the smallest features; null labels and ids, and ids without a document, teach nothing.
     """
     rows = (labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), 5) != 0))
             .groupBy(F.col("doc_id").alias("labelled")).agg(F.max("quality").alias("quality"))
@@ -151,7 +157,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **settings)
 
     taught = (docs.select("doc_id", "text").join(F.broadcast(rows), F.col("doc_id") == F.col("labelled"))
               .select("doc_id", F.col("quality").cast("long").alias("quality"), "text")
-              .mapInArrow(run, "doc_id long, quality long, x array<double>").toArrow().combine_chunks())
+              .mapInArrow(run, "doc_id long, quality long, x array<double>")
+              .groupBy("doc_id", "quality").agg(F.min("x").alias("x")).toArrow().combine_chunks())
     if not taught.num_rows:
         return fit(np.zeros((0, len(FEATURES))), np.zeros(0), **settings)
     x = np.array(taught.column("x").to_pylist())
@@ -182,5 +189,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, threshold: float = 0.3)
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """The rows of docs whose score is at least the threshold."""
-    columns = docs.columns
-    return scored(docs, train(docs, labels), "__score").filter(F.col("__score") >= threshold).select(*columns)
+    columns, name = docs.columns, "score"
+    while name in columns:
+        name += "_"
+    return scored(docs, train(docs, labels), name).filter(F.col(name) >= threshold).select(*columns)
