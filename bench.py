@@ -25,6 +25,7 @@ from tidemark.plans import reports  # noqa: E402
 from tidemark.plans.pipeline import MODELS, build_models  # noqa: E402
 from tidemark.quality import rules as quality  # noqa: E402
 from tidemark.sources import landing  # noqa: E402
+from tidemark.sources.versioned import VersionedTable, bring_up_to_date  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -100,13 +101,11 @@ class Bench:
         return lambda: self.build_fact(self.transactions()).write.parquet(path)
 
     def _increment(self, source, build, key, ts, cut, month_of):
-        path = self.fresh()
         partitioned = lambda df: incremental.by_month(build(df), month_of)
         history = source.where(F.col(ts) <= F.lit(cut).cast("timestamp_ntz"))
-        incremental.incremental(self.spark, path, history, partitioned, key, ts,
-                                "transaction_month")
-        return lambda: incremental.incremental(self.spark, path, source, partitioned, key, ts,
-                                               "transaction_month", partition_fixed=True)
+        table = VersionedTable(self.spark, self.fresh(), key, ts, "transaction_month")
+        bring_up_to_date(table, history, partitioned, batch=None)
+        return lambda: bring_up_to_date(table, source, partitioned, batch=None)
 
     def fact_incremental(self):
         return self._increment(self.transactions(), self.build_fact, "transaction_id",
