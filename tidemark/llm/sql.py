@@ -140,5 +140,21 @@ from placed p join subroots r on r.lang is not distinct from p.lang join crown t
 join (select k, arg_max(h, level) as h from folds group by k) f using (k)
 """
 
-ORACLES: dict[str, str] = {"op1_sharding": _OP1, "op3_substring_dedup": _OP3, "op10_preference_format": _OP10, "op12_lexical_search": _OP12,
-                           "op13_merkle_manifest": _OP13}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_OP8 = rf"""
+with recursive docs as (select doc_id, case when coalesce(text, '') = '' then []::varchar[] else regexp_extract_all({_LOWER}, '{_WORD}') end as w from documents),
+sets as (
+    select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+                                        else list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) end) as gram from docs),
+sizes as (select doc_id, count(*) as n from sets group by doc_id),
+shared as (select a.doc_id as x, b.doc_id as y, count(*) as k from sets a join sets b using (gram) where a.doc_id < b.doc_id group by all),
+links as (select x, y from shared join sizes s on s.doc_id = x join sizes t on t.doc_id = y where 100 * k >= 85 * (s.n + t.n - k)),
+edges as (select x, y from links union all select y, x from links),
+reached as (select doc_id, doc_id as other from documents union select r.doc_id, e.y from reached r join edges e on e.x = r.other),
+groups as (select doc_id, min(other) as component_id from reached group by doc_id)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, component_id, doc_id = component_id as kept
+from documents join groups using (doc_id) left join sizes using (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op1_sharding": _OP1, "op3_substring_dedup": _OP3, "op8_minhash_near_dedup": _OP8,
+                           "op10_preference_format": _OP10, "op12_lexical_search": _OP12, "op13_merkle_manifest": _OP13}
