@@ -6,6 +6,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -17,6 +18,7 @@ import regex
 import sentencepiece
 import tiktoken
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tidemark.llm import bpe, decontam, fingerprints, lattice_lm, neardup, preference, quality, sharding, substrings, token_files
@@ -319,6 +321,26 @@ def test_lattice_sums_all_segmentations():
     assert len(vocabulary.texts) > 31_000 and sentencepiece is not None
 
 
+def test_long_words_as_short_ones(monkeypatch):
+    vocabulary = lattice_lm.pieces(PIECES)
+    rng = random.Random(3)
+    raw = ["".join(rng.choice("abcxyzÉ日t") for _ in range(rng.randrange(1, 300))).encode() for _ in range(20)] + [b"a" * 400]
+    data, lengths = np.frombuffer(b"".join(raw), np.uint8), np.array([len(r) for r in raw])
+    monkeypatch.setattr(lattice_lm, "_LONG", 10**9)
+    p, e = lattice_lm.word_log_probability(vocabulary, vocabulary.first, data, lengths), lattice_lm.expected(vocabulary, vocabulary.first, data, lengths)
+    monkeypatch.setattr(lattice_lm, "_LONG", 5)
+    monkeypatch.setattr(lattice_lm, "_STRETCH", 64)
+    assert np.allclose(lattice_lm.word_log_probability(vocabulary, vocabulary.first, data, lengths), p, rtol=1e-9)
+    assert np.allclose(lattice_lm.expected(vocabulary, vocabulary.first, data, lengths), e, rtol=1e-6, atol=1e-9)
+
+
+def test_a_word_of_20000_bytes_is_quick():
+    vocabulary, data = lattice_lm.pieces(PIECES), np.frombuffer(random.Random(1).randbytes(20_000).hex()[:20_000].encode(), np.uint8)
+    began = time.process_time()
+    assert -1e6 < lattice_lm.word_log_probability(vocabulary, vocabulary.first, data, np.array([20_000]))[0] < -1e4
+    assert time.process_time() - began < 5
+
+
 @pytest.mark.parametrize("hot", [0, 5, 1 << 18])
 def test_lm_scores(docs, hot):
     rows = pairs(docs)
@@ -333,6 +355,31 @@ def test_lm_scores(docs, hot):
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held[d], len(w), sum(c[x] > 0 for x in w), n)
         assert math.isclose(r["base_score"], sum(math.log10((c[x] + 1) / (n + v + 1)) for x in w), rel_tol=1e-9)
         assert -1e9 < r["score"] < 0
+    # The score by the model's law, with each word's lattice summed over all segmentations one by one.
+    train = docs.where(F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)), F.lit(-1)) != 2)
+    model, _ = lattice_lm.learn(train, PIECES)
+    weight = dict(zip(lattice_lm.pieces(PIECES).texts, np.exp(model.score).tolist(), strict=True))
+    own = Counter(x for d, w in tokens.items() if not held[d] for x in w if x is not None)
+    once, twice = (sum(k == j for k in own.values()) for j in (1, 2))
+    off = min(0.95, max(0.05, once / (once + 2 * twice)))
+    assert (model.words, model.types, model.discount) == (sum(own.values()), len(own), off)
+    documents = sum(not h for h in held.values())
+
+    def lattice(raw):
+        ways = [1.0] + [0.0] * len(raw)
+        for e in range(1, len(raw) + 1):
+            ways[e] = sum(ways[b] * weight.get(raw[b:e], 0.0) for b in range(max(0, e - 60), e))
+        return ways[-1]
+
+    def law(x):
+        whole = model.words + documents + 2
+        if x is None:
+            return (documents + 1) / whole
+        return (max(own[x] - off, 0) + off * len(own) * lattice(b" " + x.encode())) / model.words * (model.words + 1) / whole
+
+    for d, w in tokens.items():
+        if len(w) < 500 and max(len(x or "") for x in w) < 60:
+            assert math.isclose(got[d]["score"], sum(math.log10(law(x)) for x in w), rel_tol=1e-6), d
 
 
 def test_lm_probabilities_of_words_sum_to_less_than_one(docs):

@@ -95,9 +95,10 @@ def _edges(vocabulary: Pieces, block: np.ndarray) -> list[list[tuple[int, np.nda
 
 
 def _by_length(data: np.ndarray, lengths: np.ndarray, cells: int = 1 << 19) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(places, block) of words of one length, with a space before each; bytes plus one, as the rolling hash takes them."""
+    """(places, block) of words of one length, with a space before each; bytes plus one, as the rolling hash takes them. No long words."""
     starts = np.cumsum(lengths) - lengths
     order = np.argsort(lengths, kind="stable")
+    order = order[lengths[order] <= _LONG]
     for places in np.split(order, np.flatnonzero(np.diff(lengths[order])) + 1) if len(order) else []:
         size = int(lengths[places[0]])
         step = max(1, cells // (size + 1))
@@ -121,11 +122,73 @@ def _forward(score: np.ndarray, ends: list, n: int) -> np.ndarray:
     return alpha
 
 
+#: Words above so many bytes are taken one at a time, all places of a stretch at once.
+_LONG, _STRETCH = 512, 1 << 14
+
+
+def _word(data: np.ndarray) -> np.ndarray:
+    """A word with the space before it: bytes plus one, as the rolling hash takes them."""
+    return np.concatenate([[ord(" ") + 1], data.astype(np.uint64) + np.uint64(1)]).astype(np.uint64)
+
+
+def _arcs(vocabulary: Pieces, score: np.ndarray, word: np.ndarray, first: int, last: int) -> tuple[np.ndarray, np.ndarray]:
+    """(found, weight) for each start in first..last and each width up to the longest piece: the piece or -1, its score or -inf."""
+    span = last - first
+    found = np.full((span, vocabulary.longest), -1, np.int32)
+    h = np.zeros(span, np.uint64)
+    for width in range(1, vocabulary.longest + 1):
+        n = min(span, len(word) - first - width + 1)
+        if n <= 0:
+            break
+        h = h[:n] * _MULTIPLIER + word[first + width - 1 : first + width - 1 + n]
+        found[:n, width - 1] = vocabulary.find(mix(h.copy()))
+    return found, np.where(found >= 0, score[found], -np.inf)
+
+
+def _long_forward(vocabulary: Pieces, score: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """_forward() of one long word: time and memory grow with its length, the arcs of one stretch are held at a time."""
+    n = len(word)
+    alpha = np.full(n + 1 + vocabulary.longest, -np.inf)
+    alpha[0] = 0
+    for first in range(0, n, _STRETCH):
+        _, weight = _arcs(vocabulary, score, word, first, min(n, first + _STRETCH))
+        for at, row in enumerate(weight, first):
+            if alpha[at] > -np.inf:
+                ahead = alpha[at + 1 : at + 1 + vocabulary.longest]
+                np.logaddexp(ahead, alpha[at] + row, out=ahead)
+    return alpha[: n + 1]
+
+
+def _long_expected(vocabulary: Pieces, score: np.ndarray, word: np.ndarray, total: np.ndarray) -> None:
+    """Adds the expected pieces of one long word to total: the backward pass makes the arcs of each stretch anew."""
+    n, alpha = len(word), _long_forward(vocabulary, score, word)
+    if alpha[n] == -np.inf:
+        return
+    beta = np.full(n + 1 + vocabulary.longest, -np.inf)
+    beta[n] = 0
+    for first in reversed(range(0, n, _STRETCH)):
+        found, weight = _arcs(vocabulary, score, word, first, min(n, first + _STRETCH))
+        for at in range(first + len(weight) - 1, first - 1, -1):
+            weight[at - first] += beta[at + 1 : at + 1 + vocabulary.longest]
+            beta[at] = np.logaddexp.reduce(weight[at - first])
+        share = np.exp(alpha[first : first + len(weight), None] + weight - alpha[n])
+        ok = found >= 0
+        total += np.bincount(found[ok], weights=share[ok], minlength=len(total))
+
+
+def _long_words(data: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    ends = np.cumsum(lengths)
+    for i in np.flatnonzero(lengths > _LONG).tolist():
+        yield i, _word(data[ends[i] - lengths[i] : ends[i]])
+
+
 def word_log_probability(vocabulary: Pieces, score: np.ndarray, data: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Natural log of the marginal probability of each word: the forward recursion over all its segmentations."""
     out = np.zeros(len(lengths))
     for places, block in _by_length(data, lengths):
         out[places] = _forward(score, _edges(vocabulary, block), len(places))[-1]
+    for i, word in _long_words(data, lengths):
+        out[i] = _long_forward(vocabulary, score, word)[-1]
     return out
 
 
@@ -145,6 +208,8 @@ def expected(vocabulary: Pieces, score: np.ndarray, data: np.ndarray, lengths: n
                     share = np.exp(alpha[start] + arc - alpha[-1])
                     ok = found >= 0
                     total += np.bincount(found[ok], weights=np.nan_to_num(share[ok]), minlength=len(score))
+    for _, word in _long_words(data, lengths):
+        _long_expected(vocabulary, score, word, total)
     return total
 
 
@@ -238,7 +303,8 @@ def score_documents(docs: DataFrame, model_file: str, hot: int = HOT) -> DataFra
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of each document.
 
     Learns from the rows outside fold HELD_OUT of 7; a null doc_id is in no fold and so teaches. A null or empty text is
-    its end alone. Rows that repeat a doc_id, or have none, are scored together as one document.
+    its end alone. Rows that repeat a doc_id, or have none, are scored together as one document. A word may be of any length:
+    time and memory grow with it.
 
     The `hot` most frequent words are scored where they are read. All others, one row for each document and word,
     are joined with the counts, so no word's count is needed on one machine together with all others.
