@@ -16,11 +16,11 @@ import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm.scratch import discard
-from tidemark.llm.words import binary, chunks
+from tidemark.llm.words import binary, chunks, hash_pieces
 from tidemark.session import scratch_dir
 
-#: Bytes of pre-tokens and ids that a worker remembers; the memory starts anew beyond.
-REMEMBERED_BYTES = 48 << 20
+#: Pre-tokens of which a worker remembers the ids, in some 40 bytes each; the memory starts anew beyond.
+REMEMBERED = 1_000_000
 #: Bytes of text that a worker encodes at once; a longer text is cut where no pre-token lies across.
 CHUNK_BYTES = 512 << 10
 # For each control byte: how long each of its four codes is.
@@ -135,7 +135,8 @@ class Encoder:
     """The tokenizers library behind a memory of pre-tokens: each new one is encoded by the library once for each worker.
 
     Byte-level BPE merges within a pre-token alone, so a text's ids are those of its pre-tokens one after the other.
-    The memory is keyed by the pre-tokens' bytes and starts anew beyond REMEMBERED_BYTES.
+    The memory is arrays: sorted 64-bit hashes, 32 bits of a second hash that tell other pre-tokens apart, and where
+    their ids lie. Where the second hash differs, pre-tokens are encoded without the memory.
     The file's added tokens are found in texts first, as by the library; what lies between them is a text of its own.
     Refused with a ValueError: files whose added tokens want whole words or take white space along, and files with a
     normalizer, a space put before texts, or another way to cut pre-tokens than the byte-level pattern.
@@ -163,19 +164,26 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.slot: dict[bytes, int] = {}
-        self.begin, self.size, self.known = array("q"), array("i"), array("i")
-        self.held = 0
-
-    def _learn(self, pieces: list[bytes]) -> None:
-        tokens, letters = self.model.tokenize, self.letters
-        for piece in pieces:
-            ids = [t.id for t in tokens(piece.decode("latin-1").translate(letters))]
-            self.slot[piece] = len(self.begin)
-            self.begin.append(len(self.known))
-            self.size.append(len(ids))
-            self.known.extend(ids)
-            self.held += len(piece) + 4 * len(ids) + 150
+        self.keys, self.check = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+        self.where, self.size = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.ids = array("i")
+
+    def _ids(self, piece: bytes) -> list[int]:
+        return [t.id for t in self.model.tokenize(piece.decode("latin-1").translate(self.letters))]
+
+    def _learn(self, keys: np.ndarray, check: np.ndarray, pieces: Iterator[bytes]) -> None:
+        where, size = np.zeros(len(keys), np.int32), np.zeros(len(keys), np.int32)
+        for i, piece in enumerate(pieces):
+            found = self._ids(piece)
+            where[i], size[i] = len(self.ids), len(found)
+            self.ids.extend(found)
+        slot = np.searchsorted(self.keys, keys)
+        self.keys, self.check = np.insert(self.keys, slot, keys), np.insert(self.check, slot, check)
+        self.where, self.size = np.insert(self.where, slot, where), np.insert(self.size, slot, size)
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        slot = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
+        return np.where(self.keys[slot] == keys, slot, -1) if len(self.keys) else np.full(len(keys), -1)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and how many each has."""
@@ -215,16 +223,28 @@ class Encoder:
         data, lengths, counts = pre_tokens(texts)
         if not len(lengths):
             return np.zeros(0, np.int32), counts
-        offsets = np.concatenate([np.zeros(1, np.int64), np.cumsum(lengths)])
-        units = pa.Array.from_buffers(pa.large_binary(), len(lengths), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))]).dictionary_encode()
-        distinct = units.dictionary.to_pylist()
-        if self.held > REMEMBERED_BYTES:
+        one, two = hash_pieces(data, lengths, 1), (hash_pieces(data, lengths, 2) >> np.uint64(32)).astype(np.uint32)
+        keys, first, code = np.unique(one, return_index=True, return_inverse=True)
+        place = self._place(keys)
+        missing = np.flatnonzero(place < 0)
+        if len(self.keys) + len(missing) > REMEMBERED:
             self._forget()
-        self._learn([u for u in distinct if u not in self.slot])
-        slots = np.array([self.slot[u] for u in distinct], np.int64)[units.indices.to_numpy()]
-        size = np.frombuffer(self.size, np.int32)[slots].astype(np.int64)
-        stop = np.cumsum(size)
-        flat = np.frombuffer(self.known, np.int32)[np.repeat(np.frombuffer(self.begin, np.int64)[slots] - (stop - size), size) + np.arange(stop[-1])]
+            missing = np.arange(len(keys))
+        ends = np.cumsum(lengths)
+        at = first[missing]
+        if len(missing):
+            raw = data.tobytes()
+            self._learn(keys[missing], two[at], (raw[b:e] for b, e in zip((ends[at] - lengths[at]).tolist(), ends[at].tolist(), strict=True)))
+            place = self._place(keys)
+        slot = place[code]
+        if (self.check[slot] != two).any():  # two pre-tokens with one hash
+            found = [self._ids(bytes(data[e - n : e])) for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
+            size, flat = np.array([len(f) for f in found]), np.array([i for f in found for i in f], np.int32)
+            stop = np.cumsum(size)
+        else:
+            size = self.size[slot].astype(np.int64)
+            stop = np.cumsum(size)
+            flat = np.frombuffer(self.ids, np.int32)[np.repeat(self.where[slot] - (stop - size), size) + np.arange(stop[-1])]
         per_text = np.diff(np.concatenate([[0], stop])[np.concatenate([[0], np.cumsum(counts)])])
         return flat, per_text
 
