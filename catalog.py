@@ -900,6 +900,12 @@ def partition_pruned_archive(s):
 
 # --- streams ----------------------------------------------------------------------------
 
+def _typed_events(batch):
+    typed = batch.select("event_id", "user_id", clean_code("event_type").alias("event_type"),
+                         F.col("value").cast(MONEY).alias("amount"), "ts", F.to_date("ts").alias("event_date"))
+    return incremental.by_month(typed, "event_date", "event_month")
+
+
 def _event_stream(s):
     return jobs.read_stream(s.spark, s.dir, s.table("events").schema,
                             name_filter="events.parquet")
@@ -929,12 +935,19 @@ def stream_dedup(s):
 def stream_upsert(s):
     out = scratch_dir(s.spark, "upserted")
 
-    def build(batch):
-        typed = batch.select("event_id", "user_id", clean_code("event_type").alias("event_type"),
-                             F.col("value").cast(MONEY).alias("amount"), "ts",
-                             F.to_date("ts").alias("event_date"))
-        return incremental.by_month(typed, "event_date", "event_month")
-
-    jobs.stream_upsert(_event_stream(s), build, out, scratch_dir(s.spark, "ckpt"), "event_id",
+    jobs.stream_upsert(_event_stream(s), _typed_events, out, scratch_dir(s.spark, "ckpt"), "event_id",
                        "event_month", ["ts"]).awaitTermination()
     return s.spark.read.parquet(out).drop("event_month")
+
+
+@query
+def stream_merge(s):
+    """Events in several files, a micro-batch each; older versions of a third of them come in a file of their own, last."""
+    feed, events = scratch_dir(s.spark, "events"), s.table("events")
+    stale = events.where("event_id % 3 = 0").withColumns({"ts": F.col("ts") - F.expr("INTERVAL 1 DAY"), "value": F.col("value") + 1})
+    for part in (events.where("event_id % 2 = 0"), events.where("event_id % 2 = 1"), stale):
+        part.coalesce(1).write.mode("append").parquet(feed)
+    table = VersionedTable(s.spark, scratch_dir(s.spark, "merged"), "event_id", "ts", "event_month")
+    stream = jobs.read_stream(s.spark, feed, events.schema, files_per_trigger=1)
+    jobs.stream_merge(stream, _typed_events, table, scratch_dir(s.spark, "ckpt")).awaitTermination()
+    return table.read().drop("event_month")

@@ -690,3 +690,4 @@ ORACLES["stream_upsert"] = f"""
 select event_id, user_id, upper(trim(event_type)) as event_type,
   cast(cast(value as {MONEY}) as double) as amount, cast(ts as varchar) as ts,
   cast(cast(ts as date) as varchar) as event_date from events"""
+ORACLES["stream_merge"] = ORACLES["stream_upsert"]

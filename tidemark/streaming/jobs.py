@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.incremental import upsert
+from tidemark.sources.versioned import VersionedTable
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
@@ -38,6 +39,19 @@ def stream_upsert(source: DataFrame, build, target: str, checkpoint: str, key: s
             .trigger(availableNow=True).start())
 
 
+def stream_merge(source: DataFrame, build, table: VersionedTable, checkpoint: str) -> StreamingQuery:
+    """Merge every micro-batch into a versioned table: readers see whole micro-batches only.
+
+    A micro-batch that is run again, after a crash or with a new checkpoint, brings keys that the table has already
+    and changes nothing.
+    """
+    def apply(batch: DataFrame, _: int) -> None:
+        VersionedTable(batch.sparkSession, table.path, table.key, table.ts, table.partition).merge(build(batch))
+
+    return (source.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
 def drop_redelivered(source: DataFrame, key: str, ts: str, within: str) -> DataFrame:
     """First delivery of every key; keys are remembered for ``within`` of event time."""
     timed = source.withColumn("_event_time", F.col(ts).cast("timestamp"))
