@@ -15,6 +15,7 @@ from tidemark.plans import channels as channel_run
 from tidemark.plans import pipeline, reports
 from tidemark.quality import rules as quality
 from tidemark.quality import suites
+from tidemark.quality.state import RuleState
 from tidemark.session import keep_correct, scratch_dir
 from tidemark.sources import drift, feed_mapping, landing, readers
 from tidemark.sources.versioned import VersionedTable, bring_up_to_date
@@ -532,6 +533,33 @@ def dq_duplicate_keys(s):
     return quality.violations(lines, quality.Rule("unique", "line_key"))
 
 
+def _day_suite() -> list[quality.Rule]:
+    return [*transaction_suite(suites.ACCOUNT_PATTERN), quality.Rule("max_share", "transaction_type", {"max": 0.5}),
+            quality.Rule("fresh", "created_at", {"as_of": REPORT_DAY, "max_age_days": 3})]
+
+
+def _kept_state(s) -> RuleState:
+    state = RuleState(s.spark, scratch_dir(s.spark, "rule-state"), "bronze_transactions", _day_suite())
+    for day in range(5):
+        state.add(s.raw("txn").where(F.col("_batch_id") == f"batch_{day}"), f"batch_{day}")
+    return state
+
+
+@query
+def dq_merged_state(s):
+    """Five batches, each read once: the merged state gives the verdict on all rows."""
+    return _kept_state(s).results()
+
+
+@query
+def dq_merged_state_redelivered(s):
+    """Two batches come again: one as it was, one with what two others hold; each replaces what it had brought."""
+    state, txn = _kept_state(s), s.raw("txn")
+    state.add(txn.where(F.col("_batch_id") == "batch_1"), "batch_1")
+    state.add(txn.where(F.col("_batch_id").isin("batch_2", "batch_4")), "batch_2")
+    return state.results()
+
+
 @query
 def dq_freshness(s):
     return quality.evaluate(s.transactions, "freshness", [
@@ -855,21 +883,45 @@ def read_json_map(s):
     return readers.read_map_json(s.spark, folder, "mcc", "mcc_category")
 
 
+@query
+def read_multiline_csv(s):
+    """Rows whose quoted fields hold line breaks, quotes and separators, cut into byte ranges and put together."""
+    folder = scratch_dir(s.spark, "notes")
+    note = F.concat(F.lit("said \"no\",\n"), F.regexp_replace("o_orderpriority", "[- ]", "\n"), F.lit("\n\"\n"))
+    (s.table("orders").select(F.col("o_orderkey").cast("string").alias("id"), note.alias("note"), F.col("o_orderstatus").alias("status"))
+     .write.option("header", True).option("escape", '"').option("ignoreTrailingWhiteSpace", False).csv(folder))
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("note", T.StringType()),
+                           T.StructField("status", T.StringType())])
+    read = readers.read_csv(s.spark, folder, schema, multi_line=True)
+    return read.select("id", "note", "status", F.col(readers.CORRUPT).isNotNull().alias("flagged"))
+
+
 LABELS_PER_DOCUMENT = 5_000
 
 
-@query
-def read_label_json(s):
-    folder = scratch_dir(s.spark, "labels")
+def _label_documents(s) -> DataFrame:
     labels = s.raw("labels")
     documents = labels.count() // LABELS_PER_DOCUMENT + 1
     entry = F.struct(F.col("transaction_id").cast("string"), "fraud_label")
-    (labels.groupBy(F.pmod(F.xxhash64("transaction_id"), F.lit(documents)).alias("d"))
-     .agg(F.to_json(F.struct(F.map_from_entries(F.collect_list(entry)).alias("target")))
-          .alias("value")).select("value").write.text(folder))
+    return (labels.groupBy(F.pmod(F.xxhash64("transaction_id"), F.lit(documents)).alias("d"))
+            .agg(F.to_json(F.struct(F.map_from_entries(F.collect_list(entry)).alias("target"))).alias("value")))
+
+
+@query
+def read_label_json(s):
+    folder = scratch_dir(s.spark, "labels")
+    _label_documents(s).select("value").write.text(folder)
     return readers.read_label_json(s.spark, folder, multi_line=False)
 
 
+@query
+def read_label_documents(s):
+    """A file is one document; byte ranges of it are read apart."""
+    folder = scratch_dir(s.spark, "documents")
+    _label_documents(s).write.partitionBy("d").text(folder)
+    return readers.read_label_json(s.spark, f"{folder}/*")
+
+
 @query
 def replace_and_append(s):
     """Two appended batches stay side by side, a replace leaves only its own batch."""

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from catalog import (AS_OF, CALENDAR, REPORT_DAY, WIDE_CUSTOMER, transaction_suite,
+from catalog import (AS_OF, CALENDAR, REPORT_DAY, WIDE_CUSTOMER, _day_suite, transaction_suite,
                      transaction_suite_rows)
 from fixtures import ADAPTERS, duck
 from tidemark.quality import suites
@@ -562,6 +562,10 @@ _CUST = _suite_sql("bronze_customers", suites.bronze_customers(WIDE_CUSTOMER), "
 _SILVER = _suite_sql("silver_transactions", suites.silver_transactions(), "stg_t")
 ORACLES["dq_bronze_transactions"] = _sql(_TXN)
 ORACLES["dq_customers"] = _sql(_CUST)
+_DAY = _suite_sql("bronze_transactions", _day_suite(), "txn")
+ORACLES["dq_merged_state"] = _sql(_DAY)
+ORACLES["dq_merged_state_redelivered"] = _sql(_DAY.replace(
+    "from txn", "from (select * from txn union all select * from txn where _batch_id = 'batch_4')"))
 ORACLES["dq_silver_transactions"] = _sql(_SILVER)
 ORACLES["dq_suite_summary"] = _sql(f"""
 select suite, bool_and(success) as success, count(*) filter (where success) as passed,
@@ -668,6 +672,11 @@ select customer_id, address || ', x' as address, segment,
 from (select *, upper(trim(segment)) = 'CORPORATE' as short from cust_v)""")
 ORACLES["read_json_map"] = _sql("select mcc, mcc_category from mcc")
 ORACLES["read_label_json"] = _sql("select transaction_id, fraud_label from labels")
+ORACLES["read_label_documents"] = ORACLES["read_label_json"]
+ORACLES["read_multiline_csv"] = """
+select o_orderkey as id, 'said "no",' || chr(10) || regexp_replace(o_orderpriority, '[- ]', chr(10), 'g')
+  || chr(10) || '"' || chr(10) as note, o_orderstatus as status, false as flagged
+from orders"""
 _AUDITED = """
 select '{batch}' as _batch_id, count(*) as row_count, '2024-01-01T06:00:00' as first_loaded_at,
   1 as files, '{mode}' as table_mode from {block}"""

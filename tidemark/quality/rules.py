@@ -115,6 +115,11 @@ def _grouped_rules(df: DataFrame, column: str, rules: list[tuple[int, Rule]]) ->
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.count(F.lit(1)).alias("values"),
         F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).alias("repeated"),
         F.max("n").alias("largest"))
+    return totals.select(F.inline(F.array(*_grouped_outcomes(rules))))
+
+
+def _grouped_outcomes(rules: list[tuple[int, Rule]]) -> list[Column]:
+    """Outcomes in terms of rows, values, repeated and largest of one column."""
     rows, outcomes = F.col("rows"), []
     for number, rule in rules:
         if rule.kind == "unique":
@@ -125,7 +130,7 @@ def _grouped_rules(df: DataFrame, column: str, rules: list[tuple[int, Rule]]) ->
         ratio = F.when(rows > 0, part / rows)
         outcomes.append(_outcome(number, rule, F.round(ratio, 6), F.lit(None), rows,
                                  _within(ratio, rule.args)))
-    return totals.select(F.inline(F.array(*outcomes)))
+    return outcomes
 
 
 def evaluate(df: DataFrame, suite: str, rules: list[Rule]) -> DataFrame:
