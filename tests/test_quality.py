@@ -141,3 +141,14 @@ def test_result_files(spark, tmp_path):
 def test_fraud_without_flag_is_reported_as_mislabelled(spark):
     alerts = spark.createDataFrame([("TRUE_NEGATIVE",), ("TRUE_POSITIVE",)], "detection_outcome string")
     assert suites.mislabelled_alerts(alerts).count() == 1
+
+
+def test_ids_that_are_too_long_break_the_suite_of_the_given_tables(spark):
+    """Accounts without a partner have eight digits: the rule on account ids has to find them."""
+    from catalog import transaction_suite
+
+    ids = spark.createDataFrame([("ACC1", "CUST1"), ("ACC90000001", "CUST99999"), ("ACC12345", "CUST123456")],
+                                "account_id string, customer_id string")
+    wanted = [r for r in transaction_suite() if r.kind == "matches" and r.column in ids.columns]
+    assert [r.column for r in wanted] == ["account_id", "customer_id"]
+    assert verdicts(ids, *wanted) == [(False, 1), (False, 1)]
