@@ -301,3 +301,9 @@ def test_measured_bytes_grows_with_text(spark):
     short = spark.createDataFrame([("a",)] * 3, "s string")
     long = spark.createDataFrame([("a" * 1000,)] * 3, "s string")
     assert measured_bytes(long) - measured_bytes(short) == 3 * 999
+
+
+def test_a_large_pool_has_no_more_ranges_than_partitions(spark):
+    numbered = channels.number_pool(spark.range(1000).select((F.col("id") * 7).alias("id")), "id", 2)
+    assert len(set(numbered.inputFiles())) <= 4
+    assert [(r.id, r.rn) for r in numbered.orderBy("rn").collect()] == [(i * 7, i + 1) for i in range(1000)]
