@@ -239,3 +239,15 @@ def test_sample_is_exact_and_repeatable(spark, n):
     one = exact_sample(df, n, "id").collect()
     assert len(one) == min(n, 1000)
     assert sorted(one) == sorted(exact_sample(df.repartition(7), n, "id").collect())
+
+
+def test_rows_of_small_keys_are_not_written_out_by_blocks(spark, monkeypatch):
+    """Three overlapping rows of one key meet each other; forty of another go through the blocks."""
+    day = lambda i: dt.datetime(2020, 1, 1) + dt.timedelta(days=i)
+    spans = [("a", f"a{i}", day(i), day(i + 9)) for i in range(3)] + [("b", f"b{i}", day(i), day(i + 2)) for i in range(40)]
+    dim = spark.createDataFrame(spans, "customer_natural_key string, customer_key string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    seen, through = [], scd2.starts_inside
+    monkeypatch.setattr(scd2, "starts_inside", lambda df, *names: seen.append(df) or through(df, *names))
+    found = scd2.scd2_overlaps(dim).groupBy("customer_natural_key").count().collect()
+    assert {r[0]: r[1] for r in found} == {"a": 6, "b": 78}
+    assert {r[0] for r in seen[0].select("customer_natural_key").distinct().collect()} == {"b"}
