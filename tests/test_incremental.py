@@ -284,3 +284,33 @@ def test_scratch_follows_the_session(spark):
         shared_folder(Session(spark_master="spark://host:7077"))
     local = Session(spark_master="local[2]")
     assert shared_folder(local) == shared_folder(local)
+
+
+def _plain(df):
+    return sorted(map(tuple, df.collect()), key=str)
+
+
+@pytest.mark.parametrize("most", [0, 500_000])
+def test_stored_rows_are_ranked_only_where_keys_repeat(spark, tmp_path, monkeypatch, most):
+    """The rows that one_per_key gives, with a shuffle of hashes; whatever the number of hashes that may be sent to all tasks."""
+    monkeypatch.setattr(inc, "REPEATS", most)
+    given = [("a", 1, "x"), ("a", 2, None), ("a", 2, "y"), ("b", 1, "x"), (None, 1, "x"), (None, 1, "x"), (None, 2, "x"), ("c", None, "z"), ("c", 0, "q")]
+    spark.createDataFrame(given, "k string, t int, v string").write.parquet(f"{tmp_path}/rows")
+    stored = spark.read.parquet(f"{tmp_path}/rows")
+    want = [("a", 2, "y"), ("b", 1, "x"), ("c", 0, "q"), (None, 1, "x"), (None, 2, "x")]
+    assert _plain(inc.one_per_key(stored, "k", ["t"])) == sorted(want, key=str)
+    assert _plain(inc.one_per_stored_key(stored, "k", ["t"])) == sorted(want, key=str)
+    batch = spark.createDataFrame([("b", 1, "a"), ("c", 5, "n"), ("d", 1, "d"), (None, 2, "x"), (None, 3, "x")], stored.schema)
+    old = spark.createDataFrame(want, stored.schema)
+    assert _plain(inc.merged_latest(old, batch, "k", ["t"])) == sorted(
+        [("a", 2, "y"), ("b", 1, "x"), ("c", 5, "n"), ("d", 1, "d"), (None, 1, "x"), (None, 2, "x"), (None, 3, "x")], key=str)
+
+
+def test_rows_of_unique_keys_are_not_shuffled_to_be_ranked(spark, tmp_path):
+    spark.range(100).selectExpr("cast(id as string) as k", "id as t").write.parquet(f"{tmp_path}/rows")
+    stored = spark.read.parquet(f"{tmp_path}/rows")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan(inc.one_per_stored_key(stored, "k", ["t"]))
+    assert "Exchange" not in plan(inc.merged_latest(stored.where("t < 50"), stored.where("t >= 50"), "k", ["t"]))
+    ranked = inc.one_per_key(stored, "k", ["t"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "_w0" not in ranked  # a copy of the row to rank by
