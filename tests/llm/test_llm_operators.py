@@ -341,6 +341,25 @@ def test_a_word_of_20000_bytes_is_quick():
     assert time.process_time() - began < 5
 
 
+def test_words_of_many_lengths_are_quick_and_blocks_change_nothing(monkeypatch):
+    vocabulary, rng = lattice_lm.pieces(PIECES), random.Random(4)
+    lengths = np.array([*range(400), 0, 3, 3, 7])
+    data = np.frombuffer("".join(rng.choice("etaoin s.\0") for _ in range(lengths.sum())).encode(), np.uint8)
+    began = time.process_time()
+    p, e = lattice_lm.word_log_probability(vocabulary, vocabulary.first, data, lengths), lattice_lm.expected(vocabulary, vocabulary.first, data, lengths)
+    assert time.process_time() - began < 5
+    assert math.isclose(e @ [len(t) for t in vocabulary.texts], lengths.sum() + len(lengths), rel_tol=1e-9)
+    monkeypatch.setattr(lattice_lm, "_CELLS", 300)
+    assert np.allclose(lattice_lm.word_log_probability(vocabulary, vocabulary.first, data, lengths), p, rtol=1e-12)
+    assert np.allclose(lattice_lm.expected(vocabulary, vocabulary.first, data, lengths), e, rtol=1e-9, atol=1e-12)
+    # A piece is expected as often as the logarithm of the words' probability grows with its score.
+    for i in np.argsort(e)[-5:]:
+        more = vocabulary.first.copy()
+        more[i] += 1e-5
+        grown = lattice_lm.word_log_probability(vocabulary, more, data, lengths).sum() - p.sum()
+        assert math.isclose(grown / 1e-5, e[i], rel_tol=1e-3)
+
+
 @pytest.mark.parametrize("hot", [0, 5, 1 << 18])
 def test_lm_scores(docs, hot):
     rows = pairs(docs)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +23,8 @@ HELD_OUT = 2
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 _SLOTS = 21
+#: What stands behind each word in a block: no byte.
+_END = 256
 
 
 class Pieces:
@@ -57,6 +60,24 @@ class Pieces:
             if table[slot] >= 0:
                 raise ValueError("two pieces share both slots")
             table[slot] = i
+        self._trie()
+
+    def _trie(self) -> None:
+        """steps: the node reached from node i by byte b at i * 257 + b, or -1; piece: of each node, or -1. The first `inner` nodes lead on."""
+        nodes: dict[bytes, int] = {b"": 0}
+        for text in self.texts:
+            for i in range(1, len(text)):
+                nodes.setdefault(text[:i], len(nodes))
+        self.inner = len(nodes)
+        for text in self.texts:
+            nodes.setdefault(text, len(nodes))
+        steps = np.full((self.inner, _END + 1), -1, np.int32)
+        for text, node in nodes.items():
+            if text:
+                steps[nodes[text[:-1]], text[-1]] = node
+        self.steps = steps.ravel()
+        self.piece = np.full(len(nodes), -1, np.int32)
+        self.piece[[nodes[text] for text in self.texts]] = np.arange(len(self.texts))
 
     @staticmethod
     def _key(text: bytes) -> int:
@@ -80,48 +101,76 @@ def pieces(model_file: str) -> Pieces:
     return Pieces(model_file)
 
 
-def _edges(vocabulary: Pieces, block: np.ndarray) -> list[list[tuple[int, np.ndarray]]]:
-    """For each end in words of one length (rows of block, bytes): the starts, and for each row the piece between or -1."""
-    n, length = block.shape
-    ends: list[list[tuple[int, np.ndarray]]] = [[] for _ in range(length + 1)]
-    for start in range(length):
-        h = np.zeros(n, np.uint64)
-        for end in range(start + 1, min(length, start + vocabulary.longest) + 1):
-            h = h * _MULTIPLIER + block[:, end - 1]
-            found = vocabulary.find(mix(h.copy()))
-            if (found >= 0).any():
-                ends[end].append((start, found))
-    return ends
-
-
-def _by_length(data: np.ndarray, lengths: np.ndarray, cells: int = 1 << 19) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(places, block) of words of one length, with a space before each; bytes plus one, as the rolling hash takes them. No long words."""
+def _blocks(data: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(places, text, offset) of consecutive words: a space, the word's bytes and _END for each; offset is the place in its word. No long words."""
     starts = np.cumsum(lengths) - lengths
-    order = np.argsort(lengths, kind="stable")
-    order = order[lengths[order] <= _LONG]
-    for places in np.split(order, np.flatnonzero(np.diff(lengths[order])) + 1) if len(order) else []:
-        size = int(lengths[places[0]])
-        step = max(1, cells // (size + 1))
-        for first in range(0, len(places), step):
-            some = places[first : first + step]
-            block = np.full((len(some), size + 1), ord(" ") + 1, np.uint64)
-            block[:, 1:] = data[starts[some][:, None] + np.arange(size)].astype(np.uint64) + np.uint64(1)
-            yield some, block
-
-
-def _forward(score: np.ndarray, ends: list, n: int) -> np.ndarray:
-    """Log of the summed weight of all segmentations of each prefix; unreachable ones have -inf."""
-    alpha = np.full((len(ends), n), -np.inf)
-    alpha[0] = 0
-    with np.errstate(invalid="ignore", divide="ignore"):
-        for end, arcs in enumerate(ends):
-            if arcs:
-                paths = np.stack([alpha[start] + np.where(found >= 0, score[found], -np.inf) for start, found in arcs])
-                top = np.maximum(paths.max(axis=0), -1e300)
-                alpha[end] = top + np.log(np.exp(paths - top).sum(axis=0))
+    places = np.flatnonzero(lengths <= _LONG)
+    cells = np.cumsum(lengths[places] + 2)
+    first = 0
+    while first < len(places):
+        last = max(first + 1, int(np.searchsorted(cells, (cells[first - 1] if first else 0) + _CELLS, "right")))
+        some = places[first:last]
+        sizes = lengths[some] + 2
+        ends = np.cumsum(sizes)
+        offset = np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)
+        text = np.empty(len(offset), np.int64)
+        text[ends - sizes], text[ends - 1] = ord(" "), _END
+        inside = np.ones(len(offset), bool)
+        inside[ends - sizes] = inside[ends - 1] = False
+        text[inside] = data[np.repeat(starts[some] - 1, lengths[some]) + offset[inside]]
+        yield some, text, offset
+        first = last
+
+
+def _lattice(vocabulary: Pieces, text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, piece) of every piece found in the words of a block: the trie is walked from all their places at once."""
+    at = np.flatnonzero(text != _END)
+    node = np.zeros(len(at), np.int32)
+    found = []
+    for width in range(1, vocabulary.longest + 1):
+        node = vocabulary.steps[node * (_END + 1) + text[at + width - 1]]
+        some = np.flatnonzero(node >= 0)
+        at, node = at[some], node[some]
+        piece = vocabulary.piece[node]
+        hit = np.flatnonzero(piece >= 0)
+        found.append((at[hit], at[hit] + width, piece[hit]))
+        some = np.flatnonzero(node < vocabulary.inner)
+        at, node = at[some], node[some]
+    start, end, piece = (np.concatenate(column) for column in zip(*found, strict=True))
+    return start, end, piece
+
+
+def _levels(offset: np.ndarray) -> tuple[np.ndarray, list[slice]]:
+    """The arcs ordered by the offset of one of their ends, and the slice of each offset."""
+    bounds = np.concatenate([[0], np.cumsum(np.bincount(offset))]).tolist()
+    # Sixteen bits, which numpy sorts by digits, hold the offsets of all words up to _LONG.
+    small = offset.astype(np.uint16) if len(bounds) <= 1 << 16 else offset
+    return np.argsort(small, kind="stable"), [slice(*two) for two in pairwise(bounds)]
+
+
+def _forward(arcs: tuple, weight: np.ndarray, offset: np.ndarray) -> np.ndarray:
+    """Log of the summed weight of all segmentations before each place; unreachable ones have -inf."""
+    alpha = np.where(offset == 0, 0, -np.inf)
+    order, levels = _levels(offset[arcs[0]])
+    start, end, weight = arcs[0][order], arcs[1][order], weight[order]
+    # Arcs that start at the same offset have different ends, so none is lost where several are put at once.
+    for some in levels:
+        alpha[end[some]] = np.logaddexp(alpha[end[some]], alpha[start[some]] + weight[some])
     return alpha
 
 
+def _backward(arcs: tuple, weight: np.ndarray, text: np.ndarray, offset: np.ndarray) -> np.ndarray:
+    """_forward() from the end: of all segmentations from each place on."""
+    beta = np.where(text == _END, 0, -np.inf)
+    order, levels = _levels(offset[arcs[1]])
+    start, end, weight = arcs[0][order], arcs[1][order], weight[order]
+    for some in reversed(levels):
+        beta[start[some]] = np.logaddexp(beta[start[some]], beta[end[some]] + weight[some])
+    return beta
+
+
+#: So many bytes of words are taken at once.
+_CELLS = 1 << 15
 #: Words above so many bytes are taken one at a time, all places of a stretch at once.
 _LONG, _STRETCH = 512, 1 << 14
 
@@ -185,8 +234,9 @@ def _long_words(data: np.ndarray, lengths: np.ndarray) -> Iterator[tuple[int, np
 def word_log_probability(vocabulary: Pieces, score: np.ndarray, data: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Natural log of the marginal probability of each word: the forward recursion over all its segmentations."""
     out = np.zeros(len(lengths))
-    for places, block in _by_length(data, lengths):
-        out[places] = _forward(score, _edges(vocabulary, block), len(places))[-1]
+    for places, text, offset in _blocks(data, lengths):
+        arcs = _lattice(vocabulary, text)
+        out[places] = _forward(arcs, score[arcs[2]], offset)[text == _END]
     for i, word in _long_words(data, lengths):
         out[i] = _long_forward(vocabulary, score, word)[-1]
     return out
@@ -195,19 +245,14 @@ def word_log_probability(vocabulary: Pieces, score: np.ndarray, data: np.ndarray
 def expected(vocabulary: Pieces, score: np.ndarray, data: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """How often each piece is expected in the words, over all segmentations by their weight (forward and backward)."""
     total = np.zeros(len(score))
-    for places, block in _by_length(data, lengths):
-        ends, n = _edges(vocabulary, block), len(places)
-        alpha = _forward(score, ends, n)
-        beta = np.full((len(ends), n), -np.inf)
-        beta[-1] = 0
-        with np.errstate(invalid="ignore", divide="ignore"):
-            for end in range(len(ends) - 1, 0, -1):
-                for start, found in ends[end]:
-                    arc = np.where(found >= 0, score[found], -np.inf) + beta[end]
-                    beta[start] = np.logaddexp(beta[start], arc)
-                    share = np.exp(alpha[start] + arc - alpha[-1])
-                    ok = found >= 0
-                    total += np.bincount(found[ok], weights=np.nan_to_num(share[ok]), minlength=len(score))
+    for places, text, offset in _blocks(data, lengths):
+        arcs = start, end, piece = _lattice(vocabulary, text)
+        weight = score[piece]
+        alpha = _forward(arcs, weight, offset)
+        whole = np.repeat(alpha[text == _END], lengths[places] + 2)
+        with np.errstate(invalid="ignore"):
+            share = np.exp(alpha[start] + weight + _backward(arcs, weight, text, offset)[end] - whole[start])
+        total += np.bincount(piece, weights=np.nan_to_num(share), minlength=len(score))
     for _, word in _long_words(data, lengths):
         _long_expected(vocabulary, score, word, total)
     return total
