@@ -30,3 +30,18 @@ def test_pipeline_run_takes_loans_of_suppliers_with_long_numbers(spark, rows, ta
     from fixtures import adapter
     assert rows(adapter(spark, tables, "loans", whole_ids=True), "loan_id") == [
         ("LOAN00007",), ("LOAN100001",), ("LOAN100002",), ("LOAN100003",), ("LOAN12345",)]
+
+
+def test_labels_by_line_are_in_documents_of_bounded_size(spark, tmp_path):
+    """Sixteen documents whatever the size held 2,500 labels each here."""
+    from pyspark.sql import functions as F
+
+    from catalog import LABELS_A_DOCUMENT, _labels_by_line
+    from tidemark.sources.readers import read_label_json
+    n, folder = 40_000, str(tmp_path / "labels")
+    labels = spark.range(n).select(F.col("id").alias("transaction_id"), F.when(F.col("id") % 7 == 0, "Yes").otherwise("No").alias("fraud_label"))
+    _labels_by_line(labels, n, folder)
+    sizes = spark.read.schema("target map<string,string>").json(folder).select(F.size("target")).collect()
+    assert sum(r[0] for r in sizes) == n and max(r[0] for r in sizes) < 2 * LABELS_A_DOCUMENT
+    back = read_label_json(spark, folder, multi_line=False)
+    assert back.exceptAll(labels).isEmpty() and back.count() == n
